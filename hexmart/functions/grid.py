@@ -77,6 +77,16 @@ def centre(cell: str | Column) -> tuple[Column, Column]:
     return out[0], out[1]
 
 
+def axial_centre(i: Column, j: Column, r: Column) -> tuple[Column, Column]:
+    """Centre (x, y) of lattice coordinates at level ``r``."""
+    out = []
+    for axis in (0, 1):
+        along_i = F.get(_double_array([axial_to_metres(1, 0, n)[axis] for n in range(C.MAX_RES + 1)]), r)
+        along_j = F.get(_double_array([axial_to_metres(0, 1, n)[axis] for n in range(C.MAX_RES + 1)]), r)
+        out.append(i * along_i + j * along_j + ORIGIN[axis])
+    return out[0], out[1]
+
+
 def corners(x: Column, y: Column, r: Column) -> Column:
     """Closed ring of a hexagon around (x, y) at resolution ``r``, counter-clockwise."""
     dx, dy = [], []
