@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from workload import mart_queries, warehouse_queries  # noqa: F401
+from workload import geometry_queries, mart_queries, warehouse_queries  # noqa: F401
