@@ -67,14 +67,27 @@ def _double_array(values: list[float]) -> Column:
 def centre(cell: str | Column) -> tuple[Column, Column]:
     """Centre (x, y) of a cell: the base cell's plus one table look-up per digit."""
     c = F.col(cell) if isinstance(cell, str) else cell
-    out = []
-    for axis in (0, 1):
-        total = F.get(_double_array([p[axis] for p in base_centres()]), C.base_cell(c))
-        for r in range(1, C.MAX_RES + 1):
-            table = _double_array([p[axis] for p in digit_offsets(r)] + [0.0])
-            total = total + F.get(table, C.digit(c, r))
-        out.append(total)
-    return out[0], out[1]
+    both = _centre(c)
+    return both.x, both.y
+
+
+def _centre(c: Column) -> Column:
+    x_of, y_of = [F.array(*[_double_array([p[axis] for p in digit_offsets(r)]) for r in range(C.MAX_RES + 1)]) for axis in (0, 1)]
+    base = C.base_cell(c)
+    start = F.struct(
+        F.get(_double_array([p[0] for p in base_centres()]), base).alias("x"),
+        F.get(_double_array([p[1] for p in base_centres()]), base).alias("y"),
+    )
+    res = C.resolution(c)
+    levels = F.when(res > 0, F.sequence(F.lit(1), res)).otherwise(F.array().cast("array<int>"))
+
+    def add(total: Column, level: Column) -> Column:
+        d = F.call_function("shiftright", c, F.lit(3) * (F.lit(C.MAX_RES) - level)).bitwiseAND(F.lit(7)).cast("int")
+        return F.struct(
+            (total.x + F.get(F.get(x_of, level), d)).alias("x"), (total.y + F.get(F.get(y_of, level), d)).alias("y")
+        )
+
+    return F.aggregate(levels, start, add)
 
 
 def axial_centre(i: Column, j: Column, r: Column) -> tuple[Column, Column]:
@@ -102,8 +115,9 @@ def corners(x: Column, y: Column, r: Column) -> Column:
 
 def boundary(cell: str | Column) -> Column:
     """Boundary ring of a cell as array<struct<x, y>>."""
-    x, y = centre(cell)
-    return corners(x, y, C.resolution(cell))
+    c = F.col(cell) if isinstance(cell, str) else cell
+    res = C.resolution(c)
+    return F.get(F.transform(F.array(_centre(c)), lambda p: corners(p.x, p.y, res)), 0)
 
 
 def nearest_axial(x: Column, y: Column, r: Column) -> Column:

@@ -16,7 +16,7 @@ from hexmart.operators import aggregates as A
 from hexmart.operators.hierjoin import adaptive_join
 from hexmart.operators.skew import CellProfile, cell_profile, salted_join
 from hexmart.plans.spec import Attr
-from hexmart.session import materialize
+from hexmart.session import materialize, spread
 
 
 @dataclass
@@ -158,7 +158,7 @@ def build_facts(spec: MartSpec) -> tuple[DataFrame, list[str]]:
         return reduce(Column.__mul__, [c for p, c in counts.items() if p != skip], F.lit(1))
 
     def area_behind(area: Column) -> Column:
-        return F.sum(area.cast(A.AREA_TYPE) * behind().cast(A.COUNT_TYPE))
+        return F.sum(area * behind())
 
     # Everything is reduced per indicator cell first and only then moved to the wanted resolution, so that a coarse
     # cell is expanded once per group and not once per joined row.
@@ -184,9 +184,11 @@ def build_facts(spec: MartSpec) -> tuple[DataFrame, list[str]]:
             else:
                 area = C.cell_area(f"{prefix}cell") if a.fn == "sum_area" else A.nested_area(all_cells)
                 first.append(area_behind(area).alias(a.alias))
-                final.append(F.sum(a.alias).cast("double").alias(a.alias))
+                final.append(A.area_sum(F.col(a.alias)).alias(a.alias))
     per_cell = facts.groupBy("i_cell", *keys)
     per_cell = per_cell.agg(*first) if first else facts.select("i_cell", *keys).distinct()
+    if profile.lo < spec.res:
+        per_cell = spread(per_cell, *per_cell.columns)
     placed = C.normalize(per_cell, "i_cell", spec.res, "_cell", profile.lo, profile.hi)
     groups = [a.alias for t in [indicator, *contexts] for a in t.attrs() if a.group and not _is_geometry(a)]
     if not final:

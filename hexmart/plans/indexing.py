@@ -11,7 +11,7 @@ from hexmart.functions import cells as C
 from hexmart.functions import grid as G
 from hexmart.operators.rings import cut, descend
 from hexmart.operators.rowid import dense_row_id
-from hexmart.session import materialize
+from hexmart.session import materialize, spread
 
 # Slack for sums of areas: two roundings of the same area may differ by this share of a cell.
 SLACK = 1e-9
@@ -148,7 +148,7 @@ def index_adaptive_partition(
 
 def _onward(pieces: DataFrame, keep: list[str], r: int) -> DataFrame:
     """Pieces of level ``r`` cut to level ``r`` + 1."""
-    return descend(pieces.select(*keep, "sign", "cell", "level", "cx", "cy", "xs", "ys"), keep, r + 1)
+    return descend(spread(pieces.select(*keep, "sign", "cell", "level", "cx", "cy", "xs", "ys"), "cell", "xs"), keep, r + 1)
 
 
 def index_adaptive_objects(

@@ -44,7 +44,7 @@ def _expression(table: str, attr: Attr) -> Column:
     if attr.fn == "area":
         return C.cell_area(arg(0))
     if attr.fn == "sum_area":
-        return A.exact_sum(C.cell_area(arg(0)))
+        return A.area_sum(C.cell_area(arg(0)))
     if attr.fn == "sum_area_adaptatif":
         return A.sum_area_adaptive(list(attr.args))
     if attr.fn == "sum":

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -67,3 +68,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = fresh_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Deal rows out to all cores before work that multiplies them.
+
+    Adaptive execution merges small shuffle partitions by their bytes; a fixed number keeps it from putting rows that
+    stand for very many results into one task.
+    """
+    spark = df.sparkSession
+    ways = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(ways, F.xxhash64(*columns))

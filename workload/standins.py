@@ -5,8 +5,6 @@ Keys become cells by the same bit arithmetic on both sides, so ids collide along
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,14 +15,14 @@ BASE = 20  # a base cell that is no pentagon
 
 
 def synthetic_cell(k: Column, r: Column) -> Column:
-    """Digit i of the cell is (k div 7^(i-1)) mod 7 down to resolution ``r``."""
-    head = F.lit(1 << 59).bitwiseOR(F.shiftleft(r.cast("long"), 52)).bitwiseOR(F.lit(BASE << 45))
-    parts = []
-    k = F.coalesce(k, F.lit(0).cast("long"))
-    for i in range(1, C.MAX_RES + 1):
-        d = F.pmod(F.call_function("div", k, F.lit(7 ** (i - 1)).cast("long")), F.lit(7)).cast("long")
-        parts.append(F.shiftleft(F.when(r >= i, d).otherwise(F.lit(7).cast("long")), 3 * (C.MAX_RES - i)))
-    return reduce(Column.bitwiseOR, parts, head)
+    """Digit i of the cell is (k div 7^(i-1)) mod 7 down to resolution ``r``.
+
+    The digits of k to base 7, last one first, cut at ``r``, filled up with 7 and read to base 8.
+    """
+    digits = F.reverse(F.lpad(F.conv(F.coalesce(k, F.lit(0)).cast("string"), 10, 7), 15, "0"))
+    body = F.conv(F.rpad(F.substr(digits, F.lit(1), r), F.lit(15), F.lit("7")), 8, 10).cast("bigint")
+    head = F.lit(1 << 59).bitwiseOR(F.shiftleft(r.cast("bigint"), 52)).bitwiseOR(F.lit(BASE << 45))
+    return F.coalesce(head.bitwiseOR(body), F.lit(0))
 
 
 def fires(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,7 +100,7 @@ def sql_area(c: str) -> str:
 
 
 def sql_area_sum(expr: str) -> str:
-    return f"CAST(sum(CAST({expr} AS DECIMAL(18,10))) AS DOUBLE)"
+    return f"round(sum({expr}), 7)"
 
 
 FIRES = f"""fires AS (SELECT {sql_cell('o_orderkey', 'o_orderkey % 7 + 2')} AS cell, o_custkey AS objectid,
