@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexmart.functions import cells as C
+from hexmart.session import materialize
 
 # One ancestor can stand above 7^gap cells; above this many its rows are spread over several tasks.
 ROWS_PER_SALT = 1_000_000
@@ -56,13 +57,25 @@ def adaptive_join(
 
     Sources without either give no row.  ``res_min`` and ``res_max`` are the resolution range of the target,
     ``src_res_min`` is the coarsest source resolution where it is known; it spares offers that no source can take.
-    Both sides are reduced to distinct cells first, so repeated cells never multiply inside the join; no loop over
-    levels reaches the driver.
+    Both sides are reduced to distinct cells first and stored, so the tables themselves are scanned once and repeated
+    cells never multiply inside the join; no loop over levels reaches the driver.
     """
-    sources = src.select(F.col(src_cell).alias("cell")).filter("cell is not null").distinct()
-    targets = tar.select(F.col(tar_cell).alias("cell")).filter("cell is not null").distinct()
 
-    up = nearest_ancestor(sources, targets, res_min, strict=False)
+    def stored(df: DataFrame, cell: str) -> DataFrame:
+        cells = df.select(F.col(cell).alias("cell")).filter("cell is not null").distinct()
+        return materialize(cells, "cells")
+
+    return link_cells(stored(src, src_cell), stored(tar, tar_cell), res_min, res_max, src_res_min)
+
+
+def link_cells(
+    sources: DataFrame, targets: DataFrame, res_min: int, res_max: int, src_res_min: int = 0, src_res_max: int = C.MAX_RES
+) -> DataFrame:
+    """The join of :func:`adaptive_join` on tables of distinct cells; pass stored ones, as both are read several times.
+
+    ``src_res_max`` is the finest source resolution where it is known; it keeps the salting of ancestors low.
+    """
+    up = materialize(nearest_ancestor(sources, targets, res_min, strict=False, finest=src_res_max), "links")
     up_pairs = up.select(F.col("cell").alias("src"), C.parent("cell", F.col("lvl")).alias("tar"))
 
     rest = sources.join(up.select("cell"), "cell", "left_anti")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexmart.functions import cells as C
+from hexmart.session import materialize
 
 HOT_ROWS = 5_000_000
 MAX_HOT_KEYS = 1000
@@ -15,28 +16,29 @@ MAX_HOT_KEYS = 1000
 
 @dataclass(frozen=True)
 class CellProfile:
-    """Resolution range of a table and the cells that hold very many of its rows."""
+    """Resolution range of a table, the cells that hold very many of its rows, and its distinct cells, stored."""
 
     lo: int
     hi: int
     hot: tuple[int, ...] = ()
+    cells: DataFrame | None = field(default=None, compare=False)
 
 
 def cell_profile(df: DataFrame, cell: str = "cell", hot_rows: int = HOT_ROWS) -> CellProfile:
-    """One pass over the cell column alone, pre-aggregated per cell.
+    """One pass over the cell column alone, pre-aggregated per cell and stored, so that nothing later needs the table
+    again to learn about its cells.
 
     A cell is hot above ``hot_rows`` rows or one thousandth of the table, whichever is more, so there are at most
     a thousand of them; they are only listed if there are any.
     """
-    counts = df.filter(F.col(cell).isNotNull()).groupBy(F.col(cell).alias("_cell")).agg(F.count("*").alias("_n"))
-    lo, hi, most, rows = counts.agg(
-        F.min(C.resolution("_cell")), F.max(C.resolution("_cell")), F.max("_n"), F.sum("_n")
-    ).first()
+    named = df.filter(F.col(cell).isNotNull()).groupBy(F.col(cell).alias("cell"))
+    counts = materialize(named.agg(F.count("*").alias("_n")), "cells")
+    lo, hi, most, rows = counts.agg(F.min(C.resolution("cell")), F.max(C.resolution("cell")), F.max("_n"), F.sum("_n")).first()
     if lo is None:
         raise ValueError("the table has no cells")
     limit = max(hot_rows, rows // MAX_HOT_KEYS)
-    hot = counts.filter(F.col("_n") > limit).select("_cell").collect() if most > limit else []
-    return CellProfile(lo, hi, tuple(row[0] for row in hot))
+    hot = counts.filter(F.col("_n") > limit).select("cell").collect() if most > limit else []
+    return CellProfile(lo, hi, tuple(row[0] for row in hot), counts.select("cell"))
 
 
 def salted_join(

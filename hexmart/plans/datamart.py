@@ -13,7 +13,7 @@ from hexmart.functions import cells as C
 from hexmart.functions import grid as G
 from hexmart.functions.text import initcap_words
 from hexmart.operators import aggregates as A
-from hexmart.operators.hierjoin import adaptive_join
+from hexmart.operators.hierjoin import link_cells
 from hexmart.operators.skew import CellProfile, cell_profile, salted_join
 from hexmart.plans.spec import Attr
 from hexmart.session import materialize, spread
@@ -141,14 +141,11 @@ def build_facts(spec: MartSpec) -> tuple[DataFrame, list[str]]:
         _check(table)
     facts = _reduced(indicator, spec.dates, spec.date_key, "i_")
     profile = cell_profile(indicator.df, indicator.cell)
-    reduced_indicator = facts
     for n, context in enumerate(contexts):
         prefix = f"c{n}_"
         around = _reduced(context, spec.dates, spec.date_key, prefix)
         around_profile = cell_profile(context.df, context.cell)
-        links = adaptive_join(
-            reduced_indicator, around, around_profile.lo, around_profile.hi, "i_cell", f"{prefix}cell", profile.lo
-        )
+        links = link_cells(profile.cells, around_profile.cells, around_profile.lo, around_profile.hi, profile.lo, profile.hi)
         facts = context_join(facts, links, around, "i_cell", f"{prefix}cell", profile)
 
     # Rows behind a joined row: the product of the counts; an absent context counts once.

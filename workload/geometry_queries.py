@@ -172,18 +172,24 @@ def index_dimension_cells(spark: SparkSession, sf: str) -> DataFrame:
     return _hex(X.index_adaptive_partition(layer(spark, sf), "p_brand", C.thresholds(7), MID, MID, tx_spatial=0.0))
 
 
-@query("cell_boundary")
+_RADIUS = G.spacing(MID) / math.sqrt(3)
+_CORNERS = [(_RADIUS * math.cos(math.pi / 6 + k * math.pi / 3), _RADIUS * math.sin(math.pi / 6 + k * math.pi / 3)) for k in (0, 1, 2, 3, 4, 5, 0)]
+_SQL_RING = " || ',' || ".join(f"CAST(round(cx + {_f(x)}) AS BIGINT)::VARCHAR || ' ' || CAST(round(cy + {_f(y)}) AS BIGINT)::VARCHAR" for x, y in _CORNERS)
+
+
+@query("cell_boundary", f"""WITH {SQL_PLOTS}, {sql_near(MID, 2 * _MARGIN)}, hit AS (SELECT i, j, any_value(cx) AS cx, any_value(cy) AS cy FROM near
+WHERE sqrt(greatest(x0 - cx, cx - x1, 0) ** 2 + greatest(y0 - cy, cy - y1, 0) ** 2) <= {_f(_MARGIN)} GROUP BY i, j), {sql_ids(MID, 'hit')} SELECT hex_id, {_SQL_RING} AS boundary FROM hit JOIN ids USING (i, j)""")
 def cell_boundary(spark: SparkSession, sf: str) -> DataFrame:
-    """Boundaries of the cells under the plots, in metres and in degrees."""
-    cells = X.mesh(layer(spark, sf), MID).withColumn("geometry", G.boundary("cell"))
-    lonlat = F.transform("geometry", lambda p: F.struct(*[v.alias(n) for n, v in zip(("lon", "lat"), PR.to_lonlat(p.x, p.y))]))
-    return _hex(cells.withColumn("lonlat", lonlat))
+    """Boundaries of the cells under the plots."""
+    cells = X.mesh(layer(spark, sf), MID).withColumn("boundary", S.boundary_text(G.boundary("cell")))
+    return _hex(cells).select("hex_id", "boundary")
 
 
-@query("geom_view")
+@query("geom_view", f"""WITH {S.FIRES} SELECT CAST(row_number() OVER (ORDER BY cell, o_orderkey) AS BIGINT) AS id, {S.sql_hex('cell')} AS hex_id, o_orderkey,
+{S.sql_boundary('cell')} AS boundary FROM fires""")
 def geom_view(spark: SparkSession, sf: str) -> DataFrame:
-    facts = S.fires(spark, sf).select("cell", "objectid", "begdate", "o_orderkey")
-    return X.geom_view(facts)
+    view = X.geom_view(S.fires(spark, sf).select("cell", "o_orderkey"))
+    return view.select("id", "hex_id", "o_orderkey", S.boundary_text(F.col("geometry")).alias("boundary"))
 
 
 _T = f"pow((1 - {_f(PR._E)} * sin(phi)) / (1 + {_f(PR._E)} * sin(phi)), {_f(PR._E / 2)})"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hexmart.functions import cells as C
 from hexmart.operators import aggregates as A
-from hexmart.operators.hierjoin import adaptive_join
+from hexmart.operators.hierjoin import adaptive_join, link_cells
 from hexmart.operators.lookup import standardize_field, unnest_json
 from hexmart.operators.rowid import dense_row_id
 from hexmart.operators.skew import cell_profile
@@ -67,10 +67,11 @@ def unnest_datamart(spark: SparkSession, sf: str) -> DataFrame:
     return unnest_json(mart, "classe_n3", {"idfeu": "bigint", "classe": "string", "surface": "double"})
 
 
-@query("dm_geometry")
+@query("dm_geometry", f"""WITH {SQL_FACTS}, drawn AS (SELECT pos, {S.sql_boundary('pos')} AS boundary FROM (SELECT DISTINCT pos FROM t1))
+SELECT {S.sql_hex('t2.pos')} AS hex_id, annee, boundary, commune FROM (SELECT DISTINCT pos, annee FROM t1) t2 JOIN places p ON p.pos = t2.pos JOIN drawn d ON d.pos = t2.pos""")
 def dm_geometry(spark: SparkSession, sf: str) -> DataFrame:
     """The mart with its cell boundary; the boundary comes from the cell after the aggregation."""
-    return build_datamart(mart_spec(spark, sf)).select("hex_id", "annee", "geometry", "commune")
+    return build_datamart(mart_spec(spark, sf)).select("hex_id", "annee", S.boundary_text(F.col("geometry")).alias("boundary"), "commune")
 
 
 @query("adaptive_join", f"""WITH {S.FIRES}, {S.LAND}, {S.LINKS} SELECT {S.sql_hex('src')} AS hex_id_src, {S.sql_hex('tar')} AS hex_id_tar FROM links""")
@@ -84,8 +85,8 @@ def q_adaptive_join(spark: SparkSession, sf: str) -> DataFrame:
 SELECT f.o_orderkey, l.c_custkey, l.l_class FROM fires f LEFT JOIN links k ON f.cell = k.src LEFT JOIN land l ON l.cell = k.tar""")
 def dm_context_join(spark: SparkSession, sf: str) -> DataFrame:
     fires, land = S.fires(spark, sf), S.land_cover(spark, sf)
-    profile = cell_profile(fires)
-    links = adaptive_join(fires, land, *resolution_range(land), src_res_min=profile.lo)
+    profile, land_profile = cell_profile(fires), cell_profile(land)
+    links = link_cells(profile.cells, land_profile.cells, land_profile.lo, land_profile.hi, profile.lo, profile.hi)
     around = land.withColumnRenamed("cell", "c_cell")
     return context_join(fires, links, around, "cell", "c_cell", profile).select("o_orderkey", "c_custkey", "l_class")
 

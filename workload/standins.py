@@ -5,10 +5,13 @@ Keys become cells by the same bit arithmetic on both sides, so ids collide along
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexmart.functions import cells as C
+from hexmart.functions import grid as G
 from workload.registry import table
 
 BASE = 20  # a base cell that is no pentagon
@@ -103,6 +106,35 @@ def sql_area_sum(expr: str) -> str:
     return f"round(sum({expr}), 7)"
 
 
+def boundary_text(ring: Column) -> Column:
+    """A ring as text in whole metres, which compares across engines."""
+    point = lambda p: F.concat_ws(" ", F.round(p.x).cast("bigint"), F.round(p.y).cast("bigint"))
+    return F.array_join(F.transform(ring, point), ",")
+
+
+def _sql_list(values: list) -> str:
+    return "[" + ", ".join(_sql_list(v) if isinstance(v, list) else f"{float(v)!r}::DOUBLE" for v in values) + "]"
+
+
+def sql_boundary(c: str) -> str:
+    """The boundary of a planar cell in SQL: base centre, plus an offset per digit, plus six corners."""
+    axes = []
+    for axis, turn in ((0, math.cos), (1, math.sin)):
+        base = f"{_sql_list([p[axis] for p in G.base_centres()])}[((({c}) >> 45) & 127) + 1]"
+        digits = " + ".join(
+            f"CASE WHEN {sql_res(c)} >= {i} THEN {_sql_list([p[axis] for p in G.digit_offsets(i)])}[((({c}) >> {3 * (15 - i)}) & 7) + 1] ELSE 0 END"
+            for i in range(1, 16)
+        )
+        corners = [
+            [G.spacing(r) / math.sqrt(3) * turn(G.turn(r) + math.pi / 6 + k * math.pi / 3) for k in (0, 1, 2, 3, 4, 5, 0)]
+            for r in range(16)
+        ]
+        axes.append((f"{base} + {digits}", f"{_sql_list(corners)}[{sql_res(c)} + 1]"))
+    (x, dx), (y, dy) = axes
+    return f"""(SELECT array_to_string(list_transform(range(1, 8), lambda n: CAST(round(cx + dx[n]) AS BIGINT)::VARCHAR || ' ' || CAST(round(cy + dy[n]) AS BIGINT)::VARCHAR), ',')
+  FROM (SELECT {x} AS cx, {y} AS cy, {dx} AS dx, {dy} AS dy))"""
+
+
 FIRES = f"""fires AS (SELECT {sql_cell('o_orderkey', 'o_orderkey % 7 + 2')} AS cell, o_custkey AS objectid,
   CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS begdate, o_orderpriority AS priority,
   CAST(o_totalprice AS DECIMAL(18,2)) AS price, o_orderkey FROM orders)"""
