@@ -41,7 +41,7 @@ def unnest_json(df: DataFrame, field: str, subfields: dict[str, str]) -> DataFra
     return df.select(*others, F.inline(F.from_json(F.col(field), f"array<struct<{ddl}>>")))
 
 
-def union_relations(relations: dict[str, DataFrame], source_column: str = "_dbt_source_relation") -> DataFrame:
+def union_relations(relations: dict[str, DataFrame], source_column: str = "_source_relation") -> DataFrame:
     """Union by name; a column that one relation lacks is NULL there; each row says where it comes from."""
     tagged = [df.select(F.lit(name).alias(source_column), "*") for name, df in relations.items()]
     out = tagged[0]

@@ -51,16 +51,21 @@ def lambda_filter(df: DataFrame, column: str, split: datetime, mode: str, target
     raise ValueError("mode is view, incremental or first")
 
 
-def _tagged(df: DataFrame, source: str, run_at: datetime) -> DataFrame:
+def _tagged(df: DataFrame, source: str, run_at: datetime, prefix: str) -> DataFrame:
     stamp = F.lit(str(run_at))
-    return df.withColumn("_dbt_lambda_view_source", F.lit(source)).withColumn("_dbt_last_run_at", stamp)
+    return df.withColumn(f"{prefix}lambda_view_source", F.lit(source)).withColumn(f"{prefix}last_run_at", stamp)
 
 
-def lambda_union(historical: DataFrame, new: DataFrame, run_at: datetime, unique_key: str | None = None) -> DataFrame:
-    """Past and tail; with a key, a row of the tail takes the place of the past rows of that key."""
+def lambda_union(
+    historical: DataFrame, new: DataFrame, run_at: datetime, unique_key: str | None = None, prefix: str = "_"
+) -> DataFrame:
+    """Past and tail; with a key, a row of the tail takes the place of the past rows of that key.
+
+    ``prefix`` goes before the two columns that say where a row comes from and when.
+    """
     if unique_key:
         historical = not_in(historical, new, unique_key)
-    return _tagged(historical, "historical", run_at).unionByName(_tagged(new, "new", run_at))
+    return _tagged(historical, "historical", run_at, prefix).unionByName(_tagged(new, "new", run_at, prefix))
 
 
 def split_union(historical: DataFrame, current: DataFrame, column: str, run_at: datetime) -> DataFrame:

@@ -17,14 +17,14 @@ def pages_of_interest(relations: dict[str, DataFrame]) -> DataFrame:
     unioned = union_relations(relations)
     english = F.when(F.col("lang") == "en", F.lower(F.replace(F.col("title"), F.lit("-"), F.lit("_"))))
     # One value per relation, of which there are as many as arguments: an aggregate joined back, no window by relation.
-    subjects = unioned.groupBy("_dbt_source_relation").agg(F.max(english).alias("subject"))
-    return unioned.join(subjects, "_dbt_source_relation")
+    subjects = unioned.groupBy("_source_relation").agg(F.max(english).alias("subject"))
+    return unioned.join(subjects, "_source_relation")
 
 
 def subject_by_source(unioned: DataFrame) -> DataFrame:
     """The same as a window, for small page lists."""
     english = F.when(F.col("lang") == "en", F.lower(F.replace(F.col("title"), F.lit("-"), F.lit("_"))))
-    return unioned.withColumn("subject", F.max(english).over(Window.partitionBy("_dbt_source_relation")))
+    return unioned.withColumn("subject", F.max(english).over(Window.partitionBy("_source_relation")))
 
 
 def tagged_views(views: DataFrame, pages: DataFrame, as_of: date, days: int) -> DataFrame:

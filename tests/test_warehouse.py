@@ -60,15 +60,15 @@ def test_snapshot_flags_a_changed_past(spark):
     first = SN.first_snapshot(revenue(orders), "date_day", datetime(2020, 2, 1))
     assert sorted(r.total_revenue for r in first.collect()) == [1, 6, 30, 42]
     same = SN.check_snapshot(first, revenue(orders), "date_day", ["total_revenue"], datetime(2020, 2, 2))
-    assert Q.not_null_count(same, "dbt_valid_to").first()[0] == 0 and same.count() == 4
+    assert Q.not_null_count(same, "valid_to").first()[0] == 0 and same.count() == 4
     second = SN.check_snapshot(same, revenue(orders.filter("id <> 4")), "date_day", ["total_revenue"], datetime(2020, 2, 3))
-    assert Q.not_null_count(second, "dbt_valid_to").first()[0] == 1
-    third = [(r.total_revenue, r.dbt_valid_to) for r in second.filter("date_day = date'2020-01-03'").collect()]
+    assert Q.not_null_count(second, "valid_to").first()[0] == 1
+    third = [(r.total_revenue, r.valid_to) for r in second.filter("date_day = date'2020-01-03'").collect()]
     assert sorted(third, key=str) == [(17, None), (42, datetime(2020, 2, 3))]
     gone = SN.check_snapshot(second, revenue(orders.filter("id <> 3")), "date_day", ["total_revenue"], datetime(2020, 2, 4))
-    assert gone.filter("date_day = date'2020-01-02' and dbt_valid_to is null").count() == 1
+    assert gone.filter("date_day = date'2020-01-02' and valid_to is null").count() == 1
     main, audit = SN.split_invalidated(second, datetime(2020, 2, 5))
-    assert Q.not_null_count(main, "dbt_valid_to").first()[0] == 0
+    assert Q.not_null_count(main, "valid_to").first()[0] == 0
     assert [(r.total_revenue, r._inserted_at) for r in audit.collect()] == [(42, datetime(2020, 2, 5))]
 
 
@@ -155,10 +155,10 @@ def test_checks(spark):
 
 
 def test_masking(spark):
-    df = spark.createDataFrame([(1, "Tristan", "everything"), (2, None, "sesame")], "id int, name string, bagel string")
-    shown = Q.masked(df, ["name"], ("claire",), "claire").collect()
-    hidden = Q.masked(df, ["name"], ("claire",), "drew").collect()
-    assert [r.name for r in shown] == ["Tristan", None] and [r.bagel for r in hidden] == ["everything", "sesame"]
+    df = spark.createDataFrame([(1, "Ann", "everything"), (2, None, "sesame")], "id int, name string, bagel string")
+    shown = Q.masked(df, ["name"], ("alice",), "alice").collect()
+    hidden = Q.masked(df, ["name"], ("alice",), "bob").collect()
+    assert [r.name for r in shown] == ["Ann", None] and [r.bagel for r in hidden] == ["everything", "sesame"]
     assert len(hidden[0].name) == 32 and hidden[1].name is None
 
 
@@ -177,7 +177,7 @@ def test_lambda_view_modes_and_union(spark):
     assert (past.count(), tail.count()) == (4, 5)
     assert L.lambda_filter(df, "ts", split, "incremental", df.filter("k = 'k3'")).count() == 2
     both = L.lambda_union(past, tail.withColumn("k", F.when(F.col("k") == "k7", "k2").otherwise(F.col("k"))), split, "k")
-    rows = {(r.k, r._dbt_lambda_view_source) for r in both.collect()}
+    rows = {(r.k, r._lambda_view_source) for r in both.collect()}
     assert ("k2", "new") in rows and ("k2", "historical") not in rows and both.count() == 8
     with pytest.raises(ValueError):
         L.lambda_filter(df, "ts", split, "other")

@@ -93,11 +93,11 @@ def load_progress(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_VIEWS = """views AS (SELECT date_trunc('hour', ts) AS datehour, CASE user_id % 3 WHEN 0 THEN 'en.m' WHEN 1 THEN 'fr' ELSE 'pt-br.z' END AS wiki,
   event_type AS title, CAST(floor(value) AS BIGINT) AS views FROM events),
-seeds AS (SELECT DISTINCT CASE WHEN event_type IN ('click', 'view') THEN 'seed_look' ELSE 'seed_act' END AS _dbt_source_relation,
+seeds AS (SELECT DISTINCT CASE WHEN event_type IN ('click', 'view') THEN 'seed_look' ELSE 'seed_act' END AS _source_relation,
   replace(split_part(wiki, '.', 1), '-', '_') AS lang, event_type AS title, event_type IN ('click', 'view') AS look
   FROM (SELECT event_type, CASE user_id % 3 WHEN 0 THEN 'en.m' WHEN 1 THEN 'fr' ELSE 'pt-br.z' END AS wiki FROM events WHERE event_type <> 'error')),
-pages AS (SELECT _dbt_source_relation, lang, title, CASE WHEN look THEN title END AS shown,
-  max(CASE WHEN lang = 'en' THEN lower(replace(title, '-', '_')) END) OVER (PARTITION BY _dbt_source_relation) AS subject FROM seeds)"""
+pages AS (SELECT _source_relation, lang, title, CASE WHEN look THEN title END AS shown,
+  max(CASE WHEN lang = 'en' THEN lower(replace(title, '-', '_')) END) OVER (PARTITION BY _source_relation) AS subject FROM seeds)"""
 
 
 def _views(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,17 +137,17 @@ def _sql_daily(as_of: str, days: int) -> str:
   subject, CAST(sum(views) AS BIGINT) AS views FROM {_sql_tagged(as_of, days)} GROUP BY ALL)"""
 
 
-@query("union_relations", f"WITH {SQL_VIEWS} SELECT _dbt_source_relation, lang, title, shown FROM pages")
+@query("union_relations", f"WITH {SQL_VIEWS} SELECT _source_relation, lang, title, shown FROM pages")
 def q_union_relations(spark: SparkSession, sf: str) -> DataFrame:
     return union_relations(_seeds(spark, sf))
 
 
-@query("subject_by_source", f"WITH {SQL_VIEWS} SELECT _dbt_source_relation, lang, title, shown, subject FROM pages")
+@query("subject_by_source", f"WITH {SQL_VIEWS} SELECT _source_relation, lang, title, shown, subject FROM pages")
 def subject_by_source(spark: SparkSession, sf: str) -> DataFrame:
     return P.subject_by_source(union_relations(_seeds(spark, sf)))
 
 
-@query("pages_of_interest", f"WITH {SQL_VIEWS} SELECT _dbt_source_relation, lang, title, shown, subject FROM pages")
+@query("pages_of_interest", f"WITH {SQL_VIEWS} SELECT _source_relation, lang, title, shown, subject FROM pages")
 def pages_of_interest(spark: SparkSession, sf: str) -> DataFrame:
     return P.pages_of_interest(_seeds(spark, sf))
 
@@ -333,7 +333,7 @@ def _halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 @query("lambda_union", f"""WITH {SQL_EVENTS}, h AS (SELECT * FROM {_sql_views(BEFORE)}), n AS (SELECT * FROM {_sql_views(AFTER)})
-SELECT *, 'historical' AS _dbt_lambda_view_source, '2024-01-20 12:00:00' AS _dbt_last_run_at FROM h WHERE page_view_id NOT IN (SELECT page_view_id FROM n)
+SELECT *, 'historical' AS _lambda_view_source, '2024-01-20 12:00:00' AS _last_run_at FROM h WHERE page_view_id NOT IN (SELECT page_view_id FROM n)
 UNION ALL SELECT *, 'new', '2024-01-20 12:00:00' FROM n""")
 def q_lambda_union(spark: SparkSession, sf: str) -> DataFrame:
     past, tail = _halves(spark, sf)
@@ -341,7 +341,7 @@ def q_lambda_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("lambda_union_split", f"""WITH {SQL_EVENTS}, h AS (SELECT * FROM {_sql_views()}), n AS (SELECT * FROM {_sql_views(AFTER)})
-SELECT *, 'historical' AS _dbt_lambda_view_source, '2024-01-20 12:00:00' AS _dbt_last_run_at FROM h WHERE collector_tstamp < TIMESTAMP '2024-01-20 12:00:00'
+SELECT *, 'historical' AS _lambda_view_source, '2024-01-20 12:00:00' AS _last_run_at FROM h WHERE collector_tstamp < TIMESTAMP '2024-01-20 12:00:00'
 UNION ALL SELECT *, 'new', '2024-01-20 12:00:00' FROM n""")
 def lambda_union_split(spark: SparkSession, sf: str) -> DataFrame:
     return L.split_union(L.page_views(_web(spark, sf)), _halves(spark, sf)[1], "collector_tstamp", SPLIT)
@@ -358,8 +358,8 @@ def lambda_anti(spark: SparkSession, sf: str) -> DataFrame:
 RUN_1, RUN_2, RUN_3 = datetime(2002, 1, 1), datetime(2002, 2, 1), datetime(2002, 2, 2)
 SQL_REVENUE = """rev1 AS (SELECT CAST(o_orderdate AS DATE) AS date_day, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue FROM orders GROUP BY 1),
 rev2 AS (SELECT CAST(o_orderdate AS DATE) AS date_day, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue FROM orders WHERE o_orderpriority <> '1-URGENT' GROUP BY 1),
-snap AS (SELECT a.date_day, a.total_revenue, TIMESTAMP '2002-01-01' AS dbt_valid_from,
-  CASE WHEN b.date_day IS NOT NULL AND b.total_revenue <> a.total_revenue THEN TIMESTAMP '2002-02-01' END AS dbt_valid_to FROM rev1 a LEFT JOIN rev2 b USING (date_day)
+snap AS (SELECT a.date_day, a.total_revenue, TIMESTAMP '2002-01-01' AS valid_from,
+  CASE WHEN b.date_day IS NOT NULL AND b.total_revenue <> a.total_revenue THEN TIMESTAMP '2002-02-01' END AS valid_to FROM rev1 a LEFT JOIN rev2 b USING (date_day)
 UNION ALL SELECT b.date_day, b.total_revenue, TIMESTAMP '2002-02-01', NULL::TIMESTAMP FROM rev2 b LEFT JOIN rev1 a USING (date_day)
   WHERE a.date_day IS NULL OR a.total_revenue <> b.total_revenue)"""
 
@@ -382,20 +382,20 @@ def snapshot_body(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("scd2_check", f"WITH {SQL_REVENUE} SELECT * FROM snap")
 def scd2_check(spark: SparkSession, sf: str) -> DataFrame:
-    return _snapshot(spark, sf).select("date_day", "total_revenue", "dbt_valid_from", "dbt_valid_to")
+    return _snapshot(spark, sf).select("date_day", "total_revenue", "valid_from", "valid_to")
 
 
-@query("test_is_null", f"WITH {SQL_REVENUE} SELECT count(dbt_valid_to) AS validation_errors FROM snap")
+@query("test_is_null", f"WITH {SQL_REVENUE} SELECT count(valid_to) AS validation_errors FROM snap")
 def test_is_null(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.not_null_count(_snapshot(spark, sf), "dbt_valid_to")
+    return Q.not_null_count(_snapshot(spark, sf), "valid_to")
 
 
-@query("snapshot_cleanup", f"""WITH {SQL_REVENUE} SELECT CASE WHEN dbt_valid_to IS NULL THEN 'main' ELSE 'audit' END AS kept_in, date_day, total_revenue, dbt_valid_to,
-CASE WHEN dbt_valid_to IS NOT NULL THEN TIMESTAMP '2002-02-02' END AS _inserted_at FROM snap""")
+@query("snapshot_cleanup", f"""WITH {SQL_REVENUE} SELECT CASE WHEN valid_to IS NULL THEN 'main' ELSE 'audit' END AS kept_in, date_day, total_revenue, valid_to,
+CASE WHEN valid_to IS NOT NULL THEN TIMESTAMP '2002-02-02' END AS _inserted_at FROM snap""")
 def snapshot_cleanup(spark: SparkSession, sf: str) -> DataFrame:
     main, audit = SN.split_invalidated(materialize(_snapshot(spark, sf), "snapshot"), RUN_3)
     both = main.withColumn("kept_in", F.lit("main")).unionByName(audit.withColumn("kept_in", F.lit("audit")), allowMissingColumns=True)
-    return both.select("kept_in", "date_day", "total_revenue", "dbt_valid_to", "_inserted_at")
+    return both.select("kept_in", "date_day", "total_revenue", "valid_to", "_inserted_at")
 
 
 def _segments(customers: DataFrame) -> DataFrame:
@@ -444,12 +444,12 @@ def mv_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
 @query("mask_column", "SELECT c_custkey, c_name AS shown, md5(c_name) AS hidden FROM customer")
 def mask_column(spark: SparkSession, sf: str) -> DataFrame:
     name = F.col("c_name")
-    return table(spark, sf, "customer").select("c_custkey", Q.mask(name, ("claire",), "claire").alias("shown"), Q.mask(name, ("claire",), "paul").alias("hidden"))
+    return table(spark, sf, "customer").select("c_custkey", Q.mask(name, ("alice",), "alice").alias("shown"), Q.mask(name, ("alice",), "bob").alias("hidden"))
 
 
 @query("masked_view", "SELECT c_custkey, md5(c_name) AS c_name, c_nationkey, c_acctbal, md5(c_mktsegment) AS c_mktsegment FROM customer")
 def masked_view(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.masked(table(spark, sf, "customer"), ["c_name", "c_mktsegment"], ("claire",), "paul")
+    return Q.masked(table(spark, sf, "customer"), ["c_name", "c_mktsegment"], ("alice",), "bob")
 
 
 @query("relation_equality", """WITH a AS (SELECT l_orderkey, l_linenumber FROM lineitem), b AS (SELECT l_orderkey, CASE WHEN l_returnflag = 'R' THEN 99 ELSE l_linenumber END AS l_linenumber FROM lineitem)
