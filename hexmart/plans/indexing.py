@@ -15,6 +15,7 @@ from hexmart.session import materialize, spread
 
 # Slack for sums of areas: two roundings of the same area may differ by this share of a cell.
 SLACK = 1e-9
+SHARE_DIGITS = 9
 MESH_MARGIN = 0.6
 
 
@@ -89,14 +90,12 @@ def _shares(pieces: DataFrame, column: str, r: int) -> DataFrame:
 def _decide(shares: DataFrame, column: str, r: int, last: bool, tx: list[float], tx_spatial: float) -> DataFrame:
     """One row per cell: its leading class and whether it is valid, to subdivide, or to drop.
 
-    The larger share leads, then the smaller class; the sort key of max_by holds the class in reverse order by way of
-    a second aggregate, so no group is collected.
+    The larger share leads, then the smaller class: the least pair of negated share and class, in one aggregate.
     """
-    best = shares.groupBy("cell").agg(F.max("share").alias("_top"), F.sum("share").alias("_sum"))
-    tied = shares.join(best, "cell").filter(F.col("share") >= F.col("_top") - SLACK)
-    cells = tied.groupBy("cell").agg(
-        F.min(column).alias(column), F.any_value("_top").alias("_top"), F.any_value("_sum").alias("_sum")
-    )
+    leading = F.struct((-F.round("share", SHARE_DIGITS)).alias("order"), F.col(column).alias("leader"))
+    cells = shares.groupBy("cell").agg(
+        F.min(leading).alias("_first"), F.max("share").alias("_top"), F.sum("share").alias("_sum")
+    ).withColumn(column, F.col("_first.leader"))
     if last:
         state = F.when(F.col("_sum") >= tx_spatial - SLACK, "valid").otherwise("drop")
     else:
