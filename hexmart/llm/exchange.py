@@ -11,11 +11,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from hexmart.llm.bytestext import U
+from hexmart.llm.bytestext import U, mix
 
 BUCKET_ENTRIES = 1 << 20
-ENTRIES = "bucket int, hash binary, row binary, place binary, many binary"
+ENTRIES = "bucket int, hash binary, row binary, place binary, kind binary"
 PLACES = "row bigint, places binary"
 
 
@@ -37,23 +38,41 @@ def fold(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, starts, np.diff(np.append(starts, len(ranked)))
 
 
-def send(keys: np.ndarray, rows: np.ndarray, places: np.ndarray, many: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """One row per bucket: the entries (key, row, place, seen more than once already); ``keys`` ascending."""
+ONE, MANY, TOLD = 0, 1, 2
+
+
+def fold_batch(keys: np.ndarray, rows: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The entries of a batch in the order of their keys, one per key, with how often the batch saw the key (ONE, MANY).
+
+    The further entries of a key need no answer: they are known to repeat. They travel as TOLD under a key made from their
+    row, which deals them out evenly.
+    """
+    order, starts, lengths = fold(keys)
+    kind = np.full(len(keys), TOLD, np.uint8)
+    kind[starts] = np.where(lengths > 1, MANY, ONE)
+    rows, places = rows[order], places[order]
+    keys = np.where(kind == TOLD, mix(rows.view(U) + places.astype(U)), keys[order])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], rows[order], places[order], kind[order]
+
+
+def send(keys: np.ndarray, rows: np.ndarray, places: np.ndarray, kind: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One row per bucket with its entries; ``keys`` ascending."""
     where = bucket_of(keys, buckets)
     cuts = np.flatnonzero(np.diff(where)) + 1
     lows, highs = np.append(0, cuts), np.append(cuts, len(keys))
     if not len(keys):
         lows = highs = np.zeros(0, np.int64)
-    part = lambda a, kind: pa.array([a[i:j].astype(kind).tobytes() for i, j in zip(lows, highs)], pa.binary())
+    part = lambda a, dtype: pa.array([a[i:j].astype(dtype).tobytes() for i, j in zip(lows, highs)], pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array(where[lows].astype(np.int32)), part(keys, U), part(rows, np.int64), part(places, np.int32), part(many, np.bool_)],
-        names=["bucket", "hash", "row", "place", "many"])
+        [pa.array(where[lows].astype(np.int32)), part(keys, U), part(rows, np.int64), part(places, np.int32), part(kind, np.uint8)],
+        names=["bucket", "hash", "row", "place", "kind"])
 
 
 def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All entries of one bucket."""
     get = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    return get("hash", U), get("row", np.int64), get("place", np.int32), get("many", np.bool_)
+    return get("hash", U), get("row", np.int64), get("place", np.int32), get("kind", np.uint8)
 
 
 def by_row(rows: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
@@ -69,17 +88,28 @@ def by_row(rows: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
 
 
 def repeated_places(entries: DataFrame) -> DataFrame:
-    """Rows and places of the keys that came from more than one batch, or more than once in one; ``row, places``.
-
-    A batch has reported places of a key that it saw more than once by itself; those entries only tell the others.
-    """
+    """Rows and places of the keys that occur more than once, in one batch or in several: ``row, places``."""
 
     def meet(table: pa.Table) -> pa.Table:
-        keys, rows, places, many = received(table)
-        order, starts, lengths = fold(keys)
-        shared = np.empty(len(keys), bool)
-        shared[order] = np.repeat((lengths > 1) | np.logical_or.reduceat(many[order], starts) if len(starts) else lengths > 1, lengths)
-        keep = shared & ~many
+        keys, rows, places, kind = received(table)
+        told = kind == TOLD
+        order, starts, lengths = fold(keys[~told])
+        many = np.zeros(len(starts), bool)
+        if len(starts):
+            many = np.logical_or.reduceat(kind[~told][order] == MANY, starts) | (lengths > 1)
+        shared = np.empty(len(order), bool)
+        shared[order] = np.repeat(many, lengths)
+        keep = told.copy()
+        keep[~told] = shared
         return pa.Table.from_batches([by_row(rows[keep], places[keep])])
 
     return entries.groupBy("bucket").applyInArrow(meet, PLACES)
+
+
+def gather(places: DataFrame) -> DataFrame:
+    """All places of a row; a document's own places, so bounded by its length."""
+    return places.groupBy("row").agg(F.collect_list("places").alias("places"))
+
+
+def unpack(packed: list[bytes] | None) -> np.ndarray:
+    return np.unique(np.frombuffer(b"".join(packed or []), np.int32)).astype(np.int64)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexmart.llm import mixing
+from hexmart.llm import mixing, recompression
 from hexmart.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ SELECT doc_id, source, size, source_size, target, repeats, size * repeats AS tak
 """)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op9_recompression")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.repeat_digest(table(spark, sf_dir, "documents"))
