@@ -11,13 +11,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from hexmart.llm.bytestext import U, mix
 
 BUCKET_ENTRIES = 1 << 20
 ENTRIES = "bucket int, hash binary, row binary, place binary, kind binary"
-PLACES = "row bigint, places binary"
 
 
 def bucket_count(entries: float) -> int:
@@ -42,23 +40,22 @@ ONE, MANY, TOLD = 0, 1, 2
 
 
 def fold_batch(keys: np.ndarray, rows: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The entries of a batch in the order of their keys, one per key, with how often the batch saw the key (ONE, MANY).
+    """The entries of a batch, one per key, with how often the batch saw the key (ONE, MANY).
 
     The further entries of a key need no answer: they are known to repeat. They travel as TOLD under a key made from their
     row, which deals them out evenly.
     """
     order, starts, lengths = fold(keys)
     kind = np.full(len(keys), TOLD, np.uint8)
-    kind[starts] = np.where(lengths > 1, MANY, ONE)
-    rows, places = rows[order], places[order]
-    keys = np.where(kind == TOLD, mix(rows.view(U) + places.astype(U)), keys[order])
-    order = np.argsort(keys, kind="stable")
-    return keys[order], rows[order], places[order], kind[order]
+    kind[order[starts]] = np.where(lengths > 1, MANY, ONE)
+    return np.where(kind == TOLD, mix(rows.view(U) + places.astype(U)), keys), rows, places, kind
 
 
 def send(keys: np.ndarray, rows: np.ndarray, places: np.ndarray, kind: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """One row per bucket with its entries; ``keys`` ascending."""
+    """One row per bucket with its entries in the order of the documents, in which rows and places compress well."""
     where = bucket_of(keys, buckets)
+    order = np.argsort(where, kind="stable")
+    where, keys, rows, places, kind = where[order], keys[order], rows[order], places[order], kind[order]
     cuts = np.flatnonzero(np.diff(where)) + 1
     lows, highs = np.append(0, cuts), np.append(cuts, len(keys))
     if not len(keys):
@@ -75,19 +72,39 @@ def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return get("hash", U), get("row", np.int64), get("place", np.int32), get("kind", np.uint8)
 
 
-def by_row(rows: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    """One row per document: its places as packed int32."""
+def by_row(rows: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[list[bytes]]]:
+    """The distinct rows and for each of them its packed part of every column."""
     order = np.argsort(rows, kind="stable")
-    rows, places = rows[order], places[order].astype(np.int32)
-    cuts = np.flatnonzero(np.diff(rows)) + 1
-    lows, highs = np.append(0, cuts), np.append(cuts, len(rows))
-    if not len(rows):
-        lows = highs = np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(rows[lows], pa.int64()), pa.array([places[i:j].tobytes() for i, j in zip(lows, highs)], pa.binary())], names=["row", "places"])
+    rows = rows[order]
+    starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])[: len(rows)])
+    ends = np.append(starts[1:], len(rows))[: len(starts)]
+    return rows[starts], [[c[i:j].tobytes() for i, j in zip(starts, ends)] for c in (column[order] for column in columns)]
+
+
+def answer(rows: np.ndarray, columns: dict[str, np.ndarray], buckets: int) -> pa.Table:
+    """What a bucket found, packed by the bucket of the document that it is for."""
+    where = bucket_of(mix(rows.view(U)), buckets)
+    order = np.argsort(where, kind="stable")
+    where = where[order]
+    lows = np.flatnonzero(np.append(True, where[1:] != where[:-1])[: len(where)])
+    highs = np.append(lows[1:], len(where))[: len(lows)]
+    packed = {name: pa.array([c[i:j].tobytes() for i, j in zip(lows, highs)], pa.binary()) for name, c in (
+        (name, column[order]) for name, column in {"row": rows, **columns}.items())}
+    return pa.table({"bucket": pa.array(where[lows].astype(np.int32)), **packed})
+
 
+def per_row(answers: DataFrame, *columns: str) -> DataFrame:
+    """One row per document with all answers for it, packed; they are its own places, so bounded by its length."""
 
-def repeated_places(entries: DataFrame) -> DataFrame:
+    def collect(table: pa.Table) -> pa.Table:
+        get = lambda name, dtype: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
+        rows, packed = by_row(get("row", np.int64), *[get(c, np.int32) for c in columns])
+        return pa.table({"row": pa.array(rows, pa.int64()), **{c: pa.array(p, pa.binary()) for c, p in zip(columns, packed)}})
+
+    return answers.groupBy("bucket").applyInArrow(collect, "row bigint, " + ", ".join(f"{c} binary" for c in columns))
+
+
+def repeated_places(entries: DataFrame, buckets: int) -> DataFrame:
     """Rows and places of the keys that occur more than once, in one batch or in several: ``row, places``."""
 
     def meet(table: pa.Table) -> pa.Table:
@@ -101,15 +118,10 @@ def repeated_places(entries: DataFrame) -> DataFrame:
         shared[order] = np.repeat(many, lengths)
         keep = told.copy()
         keep[~told] = shared
-        return pa.Table.from_batches([by_row(rows[keep], places[keep])])
-
-    return entries.groupBy("bucket").applyInArrow(meet, PLACES)
-
+        return answer(rows[keep], {"places": places[keep]}, buckets)
 
-def gather(places: DataFrame) -> DataFrame:
-    """All places of a row; a document's own places, so bounded by its length."""
-    return places.groupBy("row").agg(F.collect_list("places").alias("places"))
+    return per_row(entries.groupBy("bucket").applyInArrow(meet, "bucket int, row binary, places binary"), "places")
 
 
-def unpack(packed: list[bytes] | None) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(packed or []), np.int32)).astype(np.int64)
+def unpack(packed: bytes | None) -> np.ndarray:
+    return np.unique(np.frombuffer(packed or b"", np.int32)).astype(np.int64)

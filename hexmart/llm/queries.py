@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexmart.llm import mixing, recompression
+from hexmart.llm import mixing, recompression, suffix
 from hexmart.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_recompression")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.repeat_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op6_suffix")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.shared_digest(table(spark, sf_dir, "documents"))

@@ -116,7 +116,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
                 yield exchange.send(*exchange.fold_batch(*map(np.concatenate, zip(*parts))), symbol_buckets)
 
     keyed = _keyed(docs)
-    shared = materialize(exchange.repeated_places(keyed.mapInArrow(symbols, exchange.ENTRIES)), "repeat-symbols")
+    shared = materialize(exchange.repeated_places(keyed.mapInArrow(symbols, exchange.ENTRIES), symbol_buckets), "repeat-symbols")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,11 +137,11 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
             if parts:
                 yield exchange.send(*exchange.fold_batch(*map(np.concatenate, zip(*parts))), window_buckets)
 
-    with_symbols = keyed.join(exchange.gather(shared), "row", "left")
-    return materialize(exchange.repeated_places(with_symbols.mapInArrow(verify, exchange.ENTRIES)), "repeat-windows")
+    with_symbols = keyed.join(shared, "row", "left")
+    return materialize(exchange.repeated_places(with_symbols.mapInArrow(verify, exchange.ENTRIES), window_buckets), "repeat-windows")
 
 
-def _removed(places: list[bytes] | None, words: int, window: int) -> np.ndarray:
+def _removed(places: bytes | None, words: int, window: int) -> np.ndarray:
     at = exchange.unpack(places)
     return spans(at, at + window, words) if len(at) else np.zeros(words, bool)
 
@@ -166,7 +166,7 @@ def repeat_digest(docs: DataFrame, window: int = 35) -> DataFrame:
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    found = exchange.gather(repeated_windows(docs, window))
+    found = repeated_windows(docs, window)
     rows = docs.select("doc_id", "text", row_key().alias("row")).join(found, "row", "left").select("doc_id", "text", "places")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(apply, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
@@ -179,10 +179,10 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     line break. A text that loses everything stays as an empty text.
     """
     row, places = fresh_names(docs, 2)
-    found = exchange.gather(repeated_windows(docs, window)).select(F.col("row").alias(row), F.col("places").alias(places))
+    found = repeated_windows(docs, window).select(F.col("row").alias(row), F.col("places").alias(places))
     joined = docs.withColumn(row, row_key()).join(found, row, "left").drop(row)
 
-    def cut(text: str | None, told: list[bytes] | None) -> str | None:
+    def cut(text: str | None, told: bytes | None) -> str | None:
         if not text or not told:
             return text
         data = np.frombuffer(text.encode(), np.uint8)
