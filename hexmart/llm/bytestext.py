@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexmart.llm import mixing, recompression, suffix
+from hexmart.llm import minhash, mixing, recompression, suffix
 from hexmart.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_suffix")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.shared_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op1_minhash", r"""
+WITH cut AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+    WHEN len(w) = 1 THEN w ELSE [] END) AS s FROM cut),
+flat AS (SELECT doc_id, unnest(s) AS g FROM sets),
+sizes AS (SELECT doc_id, COALESCE(len(s), 0)::BIGINT AS n FROM sets),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS k FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * k >= 80 * (p.n + q.n - k)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT * FROM (WITH RECURSIVE r(x, y) AS (SELECT doc_id, doc_id FROM sizes UNION SELECT r.x, b.y FROM r JOIN both_ways b ON b.x = r.y) SELECT * FROM r)),
+least AS (SELECT x, MIN(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN least ON x = doc_id
+""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
