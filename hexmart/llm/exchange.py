@@ -23,7 +23,8 @@ def bucket_count(entries: float) -> int:
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
+    """Keys may be the least of several hashes, so their bits are scattered once more."""
+    return ((mix(keys) >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
 
 
 def fold(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,7 +84,7 @@ def by_row(rows: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[lis
 
 def answer(rows: np.ndarray, columns: dict[str, np.ndarray], buckets: int) -> pa.Table:
     """What a bucket found, packed by the bucket of the document that it is for."""
-    where = bucket_of(mix(rows.view(U)), buckets)
+    where = bucket_of(rows.view(U), buckets)
     order = np.argsort(where, kind="stable")
     where = where[order]
     lows = np.flatnonzero(np.append(True, where[1:] != where[:-1])[: len(where)])
