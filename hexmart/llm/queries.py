@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hexmart.llm import language, minhash, mixing, packing, quality, recompression, suffix
+from hexmart.llm import crosspolytope, language, minhash, mixing, packing, quality, recompression, suffix, token_count
 from hexmart.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +97,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op2_token_count")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op8_cross_polytope")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
