@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexmart.llm import crosspolytope, language, minhash, mixing, packing, quality, recompression, suffix, token_count
+from hexmart.llm import crosspolytope, language, minhash, mixing, packing, quality, recompression, simhash, suffix, token_count
 from hexmart.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_cross_polytope")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosspolytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op7_simhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
