@@ -29,7 +29,7 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def fold(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order by key, start of each run of equal keys in that order, length of each run."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ranked = keys[order]
     head = np.ones(len(ranked), bool)
     head[1:] = ranked[1:] != ranked[:-1]
