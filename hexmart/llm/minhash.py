@@ -21,22 +21,27 @@ from hexmart.session import materialize
 
 HALVES = 20
 WIDTH = 4
+PART_NODES = 500
 _RANDOM = np.random.Generator(np.random.PCG64(31))
+SKETCH = -(-2 * HALVES * WIDTH // 32)
 FACTORS = _RANDOM.integers(0, 2**64, 2 * HALVES * WIDTH, dtype=U) | U(1)
 MASKS = _RANDOM.integers(0, 2**64, 2 * HALVES * WIDTH, dtype=U)
 
 
-def _half_keys(shingles: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """One row per document with shingles, one column per half-key."""
+def _half_keys(shingles: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One row per document with shingles, one column per half-key; and a sketch of two bits of each minhash, 32 to a column."""
     keys = np.zeros((len(begin), 2 * HALVES), U)
+    sketch = np.zeros((len(begin), SKETCH), U)
     for i, (factor, mask) in enumerate(zip(FACTORS, MASKS)):
+        least = mix(np.minimum.reduceat((shingles ^ mask) * factor, begin))
         column = keys[:, i // WIDTH]
-        column[:] = mix(column + np.minimum.reduceat((shingles ^ mask) * factor, begin))
-    return keys
+        column[:] = mix(column + least)
+        sketch[:, i // 32] |= (least & U(3)) << U(2 * (i % 32))
+    return keys, sketch
 
 
 def _signatures(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, node (a hash of the shingle set), left and right half-keys (empty without shingles)."""
+    """doc_id, n_shingles, node (a hash of the shingle set), left and right half-keys and sketch (empty without shingles)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -45,19 +50,19 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
                 sets = [np.unique(shingles[i:j]) for i, j in zip(begin[:-1], begin[1:])]
                 sizes = np.array([len(s) for s in sets])
                 some = np.flatnonzero(sizes)
-                keys = np.zeros((len(sets), 2 * HALVES), U)
+                keys, sketch = np.zeros((len(sets), 2 * HALVES), U), np.zeros((len(sets), SKETCH), U)
                 if len(some):
                     distinct = np.concatenate(sets)
                     starts = np.append(0, np.cumsum(sizes[some]))[:-1]
-                    keys[some] = _half_keys(distinct, starts)
+                    keys[some], sketch[some] = _half_keys(distinct, starts)
                 node = np.array([mix(np.array([mix(s + U(77)).sum(dtype=U) + U(len(s))]))[0] for s in sets], U)
-                half = lambda part: pa.ListArray.from_arrays(
-                    pa.array(np.append(0, np.cumsum(np.where(sizes > 0, HALVES, 0))).astype(np.int32)), pa.array(keys[some][:, part].ravel().view(np.int64)))
+                lists = lambda a: pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(np.where(sizes > 0, a.shape[1], 0))).astype(np.int32)), pa.array(a[some].ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(row, end - row), pa.array(sizes, pa.int64()), pa.array(node.view(np.int64)), half(slice(0, HALVES)), half(slice(HALVES, None))],
-                    names=["doc_id", "n_shingles", "node", "left", "right"])
+                    [batch.column("doc_id").slice(row, end - row), pa.array(sizes, pa.int64()), pa.array(node.view(np.int64)), lists(keys[:, :HALVES]), lists(keys[:, HALVES:]), lists(sketch)],
+                    names=["doc_id", "n_shingles", "node", "left", "right", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id bigint, n_shingles bigint, node bigint, left array<bigint>, right array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id bigint, n_shingles bigint, node bigint, left array<bigint>, right array<bigint>, sketch array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -85,13 +90,68 @@ def _similar(common: Column, sizes: Column, percent: int) -> Column:
     return 100 * common >= percent * (sizes - common)
 
 
+def _own(sets: DataFrame) -> DataFrame:
+    """node, n, own: how many shingles each set has, and how many of them are in no other set."""
+    each = sets.select("node", F.explode("shingles").alias("s"))
+    sole = each.groupBy("s").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
+    return sets.select("node", "n").distinct().join(sole.groupBy("node").agg(F.count(F.lit(1)).alias("own")), "node", "left").select(
+        "node", "n", F.coalesce("own", F.lit(0)).alias("own"))
+
+
+def _possible(percent: int) -> Column:
+    """Whether sets of nx and ny shingles, ox and oy of them in no other set, can be similar: they share no own shingle."""
+    shared = F.least(F.col("nx") - F.col("ox"), F.col("ny") - F.col("oy"))
+    return _similar(shared, 2 * shared + F.col("ox") + F.col("oy"), percent)
+
+
+def _near_sketches(percent: int) -> Column:
+    """Whether two sketches agree as often as those of similar sets do, less five standard deviations."""
+    minhashes = 2 * HALVES * WIDTH
+    agree = (1 + 3 * percent / 100) / 4
+    least = minhashes * agree - 5 * (minhashes * agree * (1 - agree)) ** 0.5
+    odd = F.lit(0x5555555555555555)
+    off = F.lit(0)
+    for i in range(SKETCH):
+        bits = F.element_at("kx", i + 1).bitwiseXOR(F.element_at("ky", i + 1))
+        off = off + F.bit_count(bits.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseAND(odd))
+    return off <= minhashes - least
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    left = sets.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("shingles").alias("sx"))
-    right = sets.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("shingles").alias("sy"))
-    sized = pairs.join(left.select("x", "nx"), "x").join(right.select("y", "ny"), "y")
-    close = sized.where(_similar(F.least("nx", "ny"), F.col("nx") + F.col("ny"), percent)).select("x", "y")
+    left = sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx"))
+    right = sets.select(F.col("node").alias("y"), F.col("shingles").alias("sy"))
     common = F.size(F.array_intersect("sx", "sy"))
-    return close.join(left, "x").join(right, "y").where(_similar(common, F.col("nx") + F.col("ny"), percent)).select("x", "y").distinct()
+    return pairs.join(left, "x").join(right, "y").where(_similar(common, F.size("sx") + F.size("sy"), percent)).select("x", "y").distinct()
+
+
+def _side(known: DataFrame, side: str) -> DataFrame:
+    return known.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("own").alias(f"o{side}"))
+
+
+def _with_main(main: DataFrame, apart: DataFrame, sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Links between a component and the main component of a bucket that both are in.
+
+    The large component is cut into parts of bounded size; each node outside goes to every part and is compared there, so only links
+    leave the join.
+    """
+    nodes = apart.select("node", "root").distinct()
+    sizes = nodes.groupBy(F.col("root").alias("main")).agg(F.ceil(F.count(F.lit(1)) / PART_NODES).cast("int").alias("parts"))
+    meets = main.where("root != main").select("root", "main").distinct().join(sizes, "main")
+    outer = meets.join(nodes.withColumnRenamed("node", "x"), "root").join(_side(known, "x"), "x").join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx")), "x")
+    outer = outer.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    inner = nodes.select(F.col("node").alias("y"), F.col("root").alias("main")).join(sizes, "main").join(_side(known, "y"), "y").join(
+        sets.select(F.col("node").alias("y"), F.col("shingles").alias("sy")), "y").withColumn("part", F.pmod(F.xxhash64("y"), "parts").cast("int"))
+    similar = _possible(percent) & _similar(F.size(F.array_intersect("sx", "sy")), F.col("nx") + F.col("ny"), percent)
+    return outer.drop("parts").join(inner.drop("parts"), ["main", "part"]).where(similar).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
+def _outside(main: DataFrame, apart: DataFrame, sole: DataFrame, sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes of a bucket that are in different components, neither the main one."""
+    outer = apart.join(main.where("root != main").select("key", "root"), ["key", "root"]).join(known, "node").join(sole.select("node", "sketch"), "node")
+    side = lambda s: outer.select("key", *[F.col(c).alias(a + s) for c, a in (("node", ""), ("root", "r"), ("n", "n"), ("own", "o"), ("sketch", "k"))])
+    chance = (F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & _possible(percent) & _near_sketches(percent)
+    pairs = side("x").join(side("y"), "key").where(chance).select("x", "y").distinct()
+    return _verified(materialize(pairs, "minhash-outside"), sets, percent)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -103,14 +163,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     never linked and is kept. Rows of one id are linked as their texts are. Other columns are ignored.
 
     Buckets of table keys are not paired: their members are compared with two of them (least and largest node), which joins almost all
-    of a group of copies. Then only members of one bucket that are still in different components are compared, each that is not
-    of the bucket's main component with the others. So the work follows the documents and the links missing, not the square of a
-    group, and no candidate is left out.
+    of a group of copies. Then only members of one bucket that are still in different components are compared: those outside the
+    bucket's main component with the members of that component, and with each other if their sketches are near. So the work
+    follows the documents and those that copies left unlinked, not the square of a group, and no candidate is left out.
     """
     signed = materialize(_signatures(docs, words), "minhash-signatures")
     usable = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     nodes = usable.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sole = usable.select("doc_id", "node", "n_shingles", "left", "right").join(nodes, ["doc_id", "node"], "left_semi")
+    sole = usable.select("doc_id", "node", "n_shingles", "left", "right", "sketch").join(nodes, ["doc_id", "node"], "left_semi")
 
     first = sole.select("node", F.posexplode("left").alias("i", "a")).select("node", "i", F.xxhash64("i", "a").alias("half"))
     met = first.groupBy("half").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("half")
@@ -121,23 +181,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     members = materialize(keyed.join(ends, "key"), "minhash-members")
 
     sets = _sets(docs, members.select("node").distinct().join(nodes, "node"), words)
-    hubs = materialize(members.select(F.explode(F.array("low", "high")).alias("x"), F.col("node").alias("y")).where("x != y").select(
-        F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "minhash-hubs")
+    known = materialize(_own(sets), "minhash-own")
+    to_hubs = members.select(F.explode(F.array("low", "high")).alias("x"), F.col("node").alias("y")).where("x != y").select(
+        F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    hubs = materialize(to_hubs.join(_side(known, "x"), "x").join(_side(known, "y"), "y").where(_possible(percent)).select("x", "y"), "minhash-hubs")
     links = materialize(_verified(hubs, sets, percent), "minhash-links")
     roots = connect(links)
 
     placed = members.select("key", "node").distinct().join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
     apart = materialize(placed.join(mixed, "key", "left_semi"), "minhash-apart")
-    main = apart.groupBy("key", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.max_by("root", "k").alias("main"))
-    split = apart.join(main, "key")
-    outer = split.where("root != main").select("key", F.col("node").alias("x"), F.col("root").alias("rx"))
-    inner = split.select("key", F.col("node").alias("y"), F.col("root").alias("ry"), (F.col("root") != F.col("main")).alias("outside"))
-    rest = outer.join(inner, "key").where(F.col("rx") != F.col("ry")).where(~F.col("outside") | (F.col("x") < F.col("y")))
-    pairs = rest.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct().join(hubs, ["x", "y"], "left_anti")
-    more = materialize(_verified(pairs, sets, percent), "minhash-more-links")
+    held = apart.groupBy("key", "root").agg(F.count(F.lit(1)).alias("k"))
+    main = materialize(held.join(held.groupBy("key").agg(F.max_by("root", "k").alias("main")), "key").select("key", "root", "main"), "minhash-main")
+    more = materialize(_with_main(main, apart, sets, known, percent).unionByName(_outside(main, apart, sole, sets, known, percent)), "minhash-more-links")
     if more.take(1):
-        roots = connect(links.unionByName(more))
+        roots = connect(roots.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(more))
 
     rooted = nodes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("least"))
