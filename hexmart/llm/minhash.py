@@ -164,7 +164,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     Buckets of table keys are not paired: their members are compared with two of them (least and largest node), which joins almost all
     of a group of copies. Then only members of one bucket that are still in different components are compared: those outside the
-    bucket's main component with the members of that component, and with each other if their sketches are near. So the work
+    bucket's largest component with the members of that component, and with each other if their sketches are near. So the work
     follows the documents and those that copies left unlinked, not the square of a group, and no candidate is left out.
     """
     signed = materialize(_signatures(docs, words), "minhash-signatures")
@@ -191,8 +191,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     placed = members.select("key", "node").distinct().join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
     apart = materialize(placed.join(mixed, "key", "left_semi"), "minhash-apart")
-    held = apart.groupBy("key", "root").agg(F.count(F.lit(1)).alias("k"))
-    main = materialize(held.join(held.groupBy("key").agg(F.max_by("root", "k").alias("main")), "key").select("key", "root", "main"), "minhash-main")
+    held = apart.select("key", "root").distinct()
+    weight = apart.select("root", "node").distinct().groupBy("root").agg(F.count(F.lit(1)).alias("k"))
+    largest = held.join(weight, "root").groupBy("key").agg(F.max_by("root", F.struct("k", "root")).alias("main"))
+    main = materialize(held.join(largest, "key").select("key", "root", "main"), "minhash-main")
     more = materialize(_with_main(main, apart, sets, known, percent).unionByName(_outside(main, apart, sole, sets, known, percent)), "minhash-more-links")
     if more.take(1):
         roots = connect(roots.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(more))
