@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hexmart.session import materialize
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,3 +27,15 @@ def row_key() -> Column:
 
 def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def settle(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` to the shared folder and let go of the shuffle files that made it.
+
+    Spark deletes the files of a shuffle once the driver has collected its last reference, which may take long where
+    the driver allocates little; until then every step of a job would keep its files on disk.
+    """
+    written = materialize(df, tag)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return written
