@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from hexmart.llm.bytestext import U, mix, shingle_hashes, slices, word_hashes
 from hexmart.llm.components import connect
-from hexmart.session import materialize
+from hexmart.llm.frames import settle
 
 HALVES = 20
 WIDTH = 4
@@ -83,7 +83,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     names=["node", "n", "shingles"])
 
     chosen = docs.select("doc_id", "text").join(wanted, "doc_id").select("node", "text")
-    return materialize(chosen.mapInArrow(sets, "node bigint, n bigint, shingles array<bigint>"), "minhash-sets")
+    return settle(chosen.mapInArrow(sets, "node bigint, n bigint, shingles array<bigint>"), "minhash-sets")
 
 
 def _similar(common: Column, sizes: Column, percent: int) -> Column:
@@ -151,7 +151,7 @@ def _outside(main: DataFrame, apart: DataFrame, sole: DataFrame, sets: DataFrame
     side = lambda s: outer.select("key", *[F.col(c).alias(a + s) for c, a in (("node", ""), ("root", "r"), ("n", "n"), ("own", "o"), ("sketch", "k"))])
     chance = (F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & _possible(percent) & _near_sketches(percent)
     pairs = side("x").join(side("y"), "key").where(chance).select("x", "y").distinct()
-    return _verified(materialize(pairs, "minhash-outside"), sets, percent)
+    return _verified(settle(pairs, "minhash-outside"), sets, percent)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -167,35 +167,35 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     bucket's largest component with the members of that component, and with each other if their sketches are near. So the work
     follows the documents and those that copies left unlinked, not the square of a group, and no candidate is left out.
     """
-    signed = materialize(_signatures(docs, words), "minhash-signatures")
+    signed = settle(_signatures(docs, words), "minhash-signatures")
     usable = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     nodes = usable.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     sole = usable.select("doc_id", "node", "n_shingles", "left", "right", "sketch").join(nodes, ["doc_id", "node"], "left_semi")
 
     first = sole.select("node", F.posexplode("left").alias("i", "a")).select("node", "i", F.xxhash64("i", "a").alias("half"))
     met = first.groupBy("half").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("half")
-    alive = materialize(first.join(met, "half", "left_semi").select("node", "half"), "minhash-halves")
+    alive = settle(first.join(met, "half", "left_semi").select("node", "half"), "minhash-halves")
     tables = alive.join(sole.select("node", "right"), "node").select("node", "half", F.posexplode("right").alias("j", "b"))
     keyed = tables.select("node", F.xxhash64("half", "j", "b").alias("key"))
     ends = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = materialize(keyed.join(ends, "key"), "minhash-members")
+    members = settle(keyed.join(ends, "key"), "minhash-members")
 
     sets = _sets(docs, members.select("node").distinct().join(nodes, "node"), words)
-    known = materialize(_own(sets), "minhash-own")
+    known = settle(_own(sets), "minhash-own")
     to_hubs = members.select(F.explode(F.array("low", "high")).alias("x"), F.col("node").alias("y")).where("x != y").select(
         F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    hubs = materialize(to_hubs.join(_side(known, "x"), "x").join(_side(known, "y"), "y").where(_possible(percent)).select("x", "y"), "minhash-hubs")
-    links = materialize(_verified(hubs, sets, percent), "minhash-links")
+    hubs = settle(to_hubs.join(_side(known, "x"), "x").join(_side(known, "y"), "y").where(_possible(percent)).select("x", "y"), "minhash-hubs")
+    links = settle(_verified(hubs, sets, percent), "minhash-links")
     roots = connect(links)
 
     placed = members.select("key", "node").distinct().join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
-    apart = materialize(placed.join(mixed, "key", "left_semi"), "minhash-apart")
+    apart = settle(placed.join(mixed, "key", "left_semi"), "minhash-apart")
     held = apart.select("key", "root").distinct()
     weight = apart.select("root", "node").distinct().groupBy("root").agg(F.count(F.lit(1)).alias("k"))
     largest = held.join(weight, "root").groupBy("key").agg(F.max_by("root", F.struct("k", "root")).alias("main"))
-    main = materialize(held.join(largest, "key").select("key", "root", "main"), "minhash-main")
-    more = materialize(_with_main(main, apart, sets, known, percent).unionByName(_outside(main, apart, sole, sets, known, percent)), "minhash-more-links")
+    main = settle(held.join(largest, "key").select("key", "root", "main"), "minhash-main")
+    more = settle(_with_main(main, apart, sets, known, percent).unionByName(_outside(main, apart, sole, sets, known, percent)), "minhash-more-links")
     if more.take(1):
         roots = connect(roots.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(more))
 

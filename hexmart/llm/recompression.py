@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 
 from hexmart.llm import exchange
 from hexmart.llm.bytestext import U, mix, powers, slices, spans, word_bounds, word_hashes
-from hexmart.llm.frames import fresh_names, row_key, text_bytes
-from hexmart.session import materialize
+from hexmart.llm.frames import fresh_names, row_key, settle, text_bytes
 
 ROUNDS = 3
 SHORTEST = 3
@@ -116,7 +115,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
                 yield exchange.send(*exchange.fold_batch(*map(np.concatenate, zip(*parts))), symbol_buckets)
 
     keyed = _keyed(docs)
-    shared = materialize(exchange.repeated_places(keyed.mapInArrow(symbols, exchange.ENTRIES), symbol_buckets), "repeat-symbols")
+    shared = settle(exchange.repeated_places(keyed.mapInArrow(symbols, exchange.ENTRIES), symbol_buckets), "repeat-symbols")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,7 +137,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
                 yield exchange.send(*exchange.fold_batch(*map(np.concatenate, zip(*parts))), window_buckets)
 
     with_symbols = keyed.join(shared, "row", "left")
-    return materialize(exchange.repeated_places(with_symbols.mapInArrow(verify, exchange.ENTRIES), window_buckets), "repeat-windows")
+    return settle(exchange.repeated_places(with_symbols.mapInArrow(verify, exchange.ENTRIES), window_buckets), "repeat-windows")
 
 
 def _removed(places: bytes | None, words: int, window: int) -> np.ndarray:
