@@ -132,11 +132,11 @@ def _with_main(main: DataFrame, apart: DataFrame, sets: DataFrame, known: DataFr
     """Links between a component and the main component of a bucket that both are in.
 
     The large component is cut into parts of bounded size; each node outside goes to every part and is compared there, so only links
-    leave the join.
+    leave the join. A main component of one node is the bucket's largest node, with which all members were compared before.
     """
     nodes = apart.select("node", "root").distinct()
     sizes = nodes.groupBy(F.col("root").alias("main")).agg(F.ceil(F.count(F.lit(1)) / PART_NODES).cast("int").alias("parts"))
-    meets = main.where("root != main").select("root", "main").distinct().join(sizes, "main")
+    meets = main.where("root != main and k > 1").select("root", "main").distinct().join(sizes, "main")
     outer = meets.join(nodes.withColumnRenamed("node", "x"), "root").join(_side(known, "x"), "x").join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx")), "x")
     outer = outer.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     inner = nodes.select(F.col("node").alias("y"), F.col("root").alias("main")).join(sizes, "main").join(_side(known, "y"), "y").join(
@@ -188,13 +188,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = settle(_verified(hubs, sets, percent), "minhash-links")
     roots = connect(links)
 
-    placed = members.select("key", "node").distinct().join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    weight = roots.groupBy("root").agg((F.count(F.lit(1)) + 1).alias("k"))
+    sized = roots.join(weight, "root").unionByName(weight.select(F.col("root").alias("node"), "root", "k"))
+    placed = members.select("key", "node").distinct().join(sized, "node", "left").select(
+        "key", "node", F.coalesce("root", "node").alias("root"), F.coalesce("k", F.lit(1)).alias("k"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
     apart = settle(placed.join(mixed, "key", "left_semi"), "minhash-apart")
-    held = apart.select("key", "root").distinct()
-    weight = apart.select("root", "node").distinct().groupBy("root").agg(F.count(F.lit(1)).alias("k"))
-    largest = held.join(weight, "root").groupBy("key").agg(F.max_by("root", F.struct("k", "root")).alias("main"))
-    main = settle(held.join(largest, "key").select("key", "root", "main"), "minhash-main")
+    held = apart.select("key", "root", "k").distinct()
+    largest = held.groupBy("key").agg(F.max(F.struct("k", "root")).alias("top"))
+    main = settle(held.join(largest, "key").select("key", "root", F.col("top.root").alias("main"), F.col("top.k").alias("k")), "minhash-main")
     more = settle(_with_main(main, apart, sets, known, percent).unionByName(_outside(main, apart, sole, sets, known, percent)), "minhash-more-links")
     if more.take(1):
         roots = connect(roots.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(more))
