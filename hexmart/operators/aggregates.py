@@ -51,16 +51,19 @@ def array_length(column: str) -> Column:
 
 
 def json_fold(
-    df: DataFrame, keys: list[str], fields: dict[str, str], out: str, max_items: int = 100_000, part: str | None = None
+    df: DataFrame, keys: list[str], fields: dict[str, str], out: str, max_items: int | None = None, part: str = "part"
 ) -> DataFrame:
     """Fold detail rows into one JSON array per group, elements sorted, NULL fields kept.
 
-    ``fields`` maps JSON names to columns.  A group of more than ``max_items`` elements is given out as several rows
-    with the same keys, each with a share of the elements, so that no task and no value grows with the largest group;
-    unnesting gives all elements back.  ``part`` names a column that numbers these rows.  ``df`` is read twice, first
-    for the group sizes alone: pass a stored table.
+    ``fields`` maps JSON names to columns.  A group is one row.  If the caller gives ``max_items``, every row has a
+    number ``part``, and a group of more elements comes as several rows with the same keys, each with a share of the
+    elements, so that no task and no value grows with the largest group; unnesting gives all elements back.  ``df`` is
+    then read twice, first for the group sizes alone: pass a stored table.
     """
     item = F.struct(*[F.col(column).alias(name) for name, column in fields.items()])
+    text = F.to_json("_items", {"ignoreNullFields": "false"}).alias(out)
+    if max_items is None:
+        return df.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("_items")).select(*keys, text)
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_size"))
     largest = sizes.agg(F.max("_size")).first()[0] or 0
     placed = df.withColumn("_part", F.lit(0))
@@ -71,5 +74,4 @@ def json_fold(
         share = F.pmod(F.xxhash64(item), F.ceil(F.col("_size") / max_items)).cast("int")
         placed = df.join(large, same, "left").withColumn("_part", F.coalesce(share, F.lit(0)))
     folded = placed.groupBy(*keys, "_part").agg(F.sort_array(F.collect_list(item)).alias("_items"))
-    text = F.to_json("_items", {"ignoreNullFields": "false"}).alias(out)
-    return folded.select(*keys, text, *([F.col("_part").alias(part)] if part else []))
+    return folded.select(*keys, text, F.col("_part").alias(part))

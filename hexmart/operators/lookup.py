@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hexmart.session import materialize
+
 
 def standardize_field(df: DataFrame, lookup: DataFrame, key: str, value: str, positions: dict[str, int]) -> DataFrame:
     """Replace each field by the lookup's ``value`` where it equals ``key``; a field without a match becomes NULL.
@@ -24,10 +26,11 @@ def standardize_field(df: DataFrame, lookup: DataFrame, key: str, value: str, po
 def not_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
     """``df`` where key NOT IN other, by SQL's rules: a NULL in ``other`` empties the result.
 
-    Written as a plain anti join plus two one-row subqueries, so that no side has to be broadcast.
+    Written as a plain anti join plus two one-row subqueries, so that no side has to be broadcast.  The distinct values
+    of ``other`` are stored first, so that it is computed once.
     """
     other_key = other_key or key
-    values = other.select(F.col(other_key).alias(key))
+    values = materialize(other.select(F.col(other_key).alias(key)).distinct(), "not-in")
     kept = df.join(values.filter(F.col(key).isNotNull()), key, "left_anti")
     holds_null = values.filter(F.col(key).isNull()).exists()
     holds_any = values.exists()

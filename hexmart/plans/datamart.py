@@ -49,7 +49,7 @@ class MartSpec:
     dates: DataFrame | None = None
     date_key: str = "date_id"
     geometry: Callable[[Column], Column] = G.boundary
-    max_json_items: int = 100_000
+    max_json_items: int | None = None
 
     def one(self, status: str) -> Table:
         return next(t for t in self.tables if t.status == status)
@@ -194,20 +194,24 @@ def build_facts(spec: MartSpec) -> tuple[DataFrame, list[str]]:
 
 
 def build_datamart(spec: MartSpec) -> DataFrame:
-    """The mart: ``hex_id``, group columns, geometry, aggregates or JSON arrays, then dimension attributes."""
+    """The mart: ``hex_id``, group columns, geometry, aggregates or JSON arrays, then dimension attributes.
+
+    With ``max_json_items`` large groups come as several rows, which ``json_part`` numbers.
+    """
     facts, groups = build_facts(spec)
     if spec.json and spec.all("context"):
         facts = materialize(facts, "mart-facts")
         folded = {alias for j in spec.json for alias in j.fields.values()}
         keys = ["_cell", *[g for g in groups if g not in folded]]
-        marts = [A.json_fold(facts, keys, j.fields, j.name, spec.max_json_items, f"_part_{j.name}") for j in spec.json]
-        mart = marts[0].withColumnRenamed(f"_part_{spec.json[0].name}", "_part")
+        marts = [A.json_fold(facts, keys, j.fields, j.name, spec.max_json_items, "json_part") for j in spec.json]
+        if spec.max_json_items is not None:
+            keys = [*keys, "json_part"]
+        mart = marts[0]
         for j, more in zip(spec.json[1:], marts[1:]):
-            more = more.withColumnRenamed(f"_part_{j.name}", "_part")
-            right = more.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate([*keys, "_part"])], j.name)
-            same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate([*keys, "_part"])])
-            mart = mart.join(right, same, "full").drop(*[f"_r{i}" for i in range(len(keys) + 1)])
-        mart = mart.drop("_part")
+            right = more.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], j.name)
+            same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)])
+            both = [F.coalesce(k, f"_r{i}").alias(k) for i, k in enumerate(keys)]
+            mart = mart.join(right, same, "full").select(*both, *[c for c in mart.columns if c not in keys], j.name)
     else:
         mart = facts
 

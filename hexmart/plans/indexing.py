@@ -24,21 +24,21 @@ def _attributes(df: DataFrame, geometry: str) -> list[str]:
 
 
 def polyfill(df: DataFrame, r: int, key: str, geometry: str = "geometry") -> DataFrame:
-    """(key, cell) for the cells at ``r`` whose centre lies in the polygon."""
-    pieces = cut(df, [key], r, geometry, fragments=False)
-    turns = pieces.groupBy(key, "cell").agg(F.sum(F.col("sign") * F.col("winding")).alias("_turns"))
+    """(key, cell) for the cells at ``r`` whose centre lies in the polygon; each row of ``df`` is a polygon of its own."""
+    pieces = cut(df.withColumn("_row", F.monotonically_increasing_id()), ["_row", key], r, geometry, fragments=False)
+    turns = pieces.groupBy("_row", key, "cell").agg(F.sum(F.col("sign") * F.col("winding")).alias("_turns"))
     return turns.filter("_turns > 0.5").select(key, "cell")
 
 
 def index_uniform(df: DataFrame, r: int, key: str, geometry: str = "geometry") -> DataFrame:
-    """One row per cell and polygon with the polygon's attributes in place of its geometry.
+    """One row per cell and polygon with the polygon's attributes in place of its geometry; rows of one key stay apart.
 
     The attributes travel with the pieces, which spares a join on a key that may own very many cells.
     """
     attributes = _attributes(df, geometry)
-    packed = df.select(F.struct(*attributes).alias("_attributes"), key, geometry)
-    pieces = cut(packed, [key, "_attributes"], r, geometry, fragments=False)
-    turns = pieces.groupBy(key, "cell").agg(
+    packed = df.select(F.struct(*attributes).alias("_attributes"), F.monotonically_increasing_id().alias("_row"), geometry)
+    pieces = cut(packed, ["_row", "_attributes"], r, geometry, fragments=False)
+    turns = pieces.groupBy("_row", "cell").agg(
         F.sum(F.col("sign") * F.col("winding")).alias("_turns"), F.any_value("_attributes").alias("_attributes")
     )
     return turns.filter("_turns > 0.5").select("cell", "_attributes.*")
@@ -166,13 +166,13 @@ def index_adaptive_objects(
     """
     limits = [*tx[:res_max], 0.5]
     attributes = _attributes(df, geometry)
-    packed = df.select(F.struct(*attributes).alias("_attributes"), key, geometry)
-    keep = [key, "_attributes"]
+    packed = df.select(F.struct(*attributes).alias("_attributes"), F.monotonically_increasing_id().alias("_row"), geometry)
+    keep = ["_row", "_attributes"]
     pieces = materialize(cut(packed, keep, res_min, geometry), "level")
     found = []
     for r in range(res_min, res_max + 1):
         full = G.cell_area_m2(r)
-        cells = pieces.groupBy(key, "cell").agg(
+        cells = pieces.groupBy("_row", "cell").agg(
             F.sum(F.col("sign") * F.col("area")).alias("_area"),
             F.sum(F.col("sign") * F.col("area_wide")).alias("_wide"),
             F.any_value("_attributes").alias("_attributes"),
@@ -182,9 +182,9 @@ def index_adaptive_objects(
         if r == res_max:
             found.append(cells.filter(valid).select("cell", "_attributes"))
             break
-        decided = materialize(cells.select(key, "cell", "_attributes", valid.alias("_valid"), touched.alias("_touched")), "decided")
+        decided = materialize(cells.select("_row", "cell", "_attributes", valid.alias("_valid"), touched.alias("_touched")), "decided")
         found.append(decided.filter("_valid").select("cell", "_attributes"))
-        left = pieces.join(decided.filter("_touched and not _valid").select(key, "cell"), [key, "cell"], "left_semi")
+        left = pieces.join(decided.filter("_touched and not _valid").select("_row", "cell"), ["_row", "cell"], "left_semi")
         pieces = materialize(_onward(left, keep, r), "level")
         if pieces.isEmpty():
             break

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexmart.operators.lookup import json_field_array, not_in
+from hexmart.session import materialize
 from hexmart.sources.incremental import since_high_water
 
 
@@ -64,6 +65,7 @@ def lambda_union(
     ``prefix`` goes before the two columns that say where a row comes from and when.
     """
     if unique_key:
+        new = materialize(new, "lambda-new")
         historical = not_in(historical, new, unique_key)
     return _tagged(historical, "historical", run_at, prefix).unionByName(_tagged(new, "new", run_at, prefix))
 

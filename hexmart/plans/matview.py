@@ -22,7 +22,6 @@ class MaterializedView:
     query: Callable[[], DataFrame]
     auto_refresh: bool = False
     cluster_by: list[str] = field(default_factory=list)
-    refresh_interval_minutes: int | None = None
 
     def _publish(self, spark: SparkSession) -> DataFrame:
         df = self.query()
@@ -30,15 +29,14 @@ class MaterializedView:
             df = df.repartitionByRange(*self.cluster_by).sortWithinPartitions(*self.cluster_by)
         path = fresh_path(spark, self.name)
         df.write.parquet(path)
+        if spark.catalog.tableExists(self.name) and spark.catalog.getTable(self.name).tableType not in ("VIEW", "TEMPORARY"):
+            spark.sql(f"DROP TABLE `{self.name}`")
         spark.sql(f"CREATE OR REPLACE VIEW `{self.name}` AS SELECT * FROM parquet.`{path}`")
         return spark.table(self.name)
 
     def build(self, spark: SparkSession, full_refresh: bool = False) -> DataFrame:
-        """Create the view, or refresh it if it exists; a table under this name gives way to the view."""
-        found = spark.catalog.tableExists(self.name)
-        if found and spark.catalog.getTable(self.name).tableType not in ("VIEW", "TEMPORARY"):
-            spark.sql(f"DROP TABLE `{self.name}`")
-            found = False
+        """Create the view, or refresh it if it exists; a table under this name gives way to the view once that is stored."""
+        found = spark.catalog.tableExists(self.name) and spark.catalog.getTable(self.name).tableType in ("VIEW", "TEMPORARY")
         if not found or full_refresh:
             return self._publish(spark)
         return self.refresh(spark)

@@ -99,6 +99,12 @@ def test_uniform_index_carries_attributes(layer):
     assert rows.filter("cls <> case when id % 2 = 0 then 'a' else 'b' end").count() == 0
 
 
+def test_rows_of_one_key_stay_apart(layer):
+    one_key = layer.withColumn("id", F.lit(None).cast("int"))
+    count = X.index_uniform(layer, 7, "id").count()
+    assert X.index_uniform(one_key, 7, "id").count() == X.polyfill(one_key, 7, "id").count() == count
+
+
 def test_area_by_sampling(spark, layer):
     """Shares against a fine lattice of points, a way that knows nothing of clipping."""
     r, n = 7, 400

@@ -97,6 +97,8 @@ def test_merge_partitions_leaves_other_files_alone(spark):
         got = spark.read.parquet(path).select("id", "n").collect()
         assert sorted(map(tuple, got)) == [(1, 1), (2, 1), (3, 9), (4, 9)]
     assert set(spark.read.parquet(f"{path}/day=2024-01-01").inputFiles()) == before
+    with pytest.raises(ValueError):
+        I.merge_partitions(path, batch.unionByName(batch), ["id"], "day")
 
 
 def test_windows_and_high_water(spark):
