@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexmart.llm import crosspolytope, language, minhash, mixing, packing, quality, recompression, simhash, suffix, token_count
+from hexmart.llm import bond, crosspolytope, language, lines, minhash, mixing, packing, quality, recompression, simhash, suffix, token_count, whitening
 from hexmart.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,43 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_simhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+@query("op12_lines", r"""
+WITH cut AS (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS parts FROM documents),
+flat AS (
+  SELECT doc_id, number, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS number FROM cut)),
+found AS (SELECT k, MAX(doc_id) AS keeper FROM flat WHERE length(k) >= 20 GROUP BY k HAVING COUNT(DISTINCT doc_id) >= 3),
+marked AS (SELECT f.*, COALESCE(f.doc_id <> g.keeper, FALSE) AS gone FROM flat f LEFT JOIN found g USING (k))
+SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (gone) AS n_dropped,
+  sha256(COALESCE(string_agg(line, chr(10) ORDER BY number) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    return lines.drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
+@query("op13_hard_negatives", r"""
+WITH raw AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS lab, embedding FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+rows_ AS (SELECT vec_id, lab, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM raw),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.lab = b.lab AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM rows_ a JOIN rows_ b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+liked AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM liked p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 5
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return bond.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
