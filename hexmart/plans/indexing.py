@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hexmart.functions import cells as C
 from hexmart.functions import grid as G
-from hexmart.operators.rings import cut, descend
+from hexmart.operators.rings import Rejects, cut, descend
 from hexmart.operators.rowid import dense_row_id
 from hexmart.session import materialize, spread
 
@@ -23,30 +23,44 @@ def _attributes(df: DataFrame, geometry: str) -> list[str]:
     return [c for c in df.columns if c != geometry]
 
 
-def polyfill(df: DataFrame, r: int, key: str, geometry: str = "geometry") -> DataFrame:
+def _numbered(df: DataFrame, geometry: str) -> tuple[DataFrame, DataFrame]:
+    """(polygons, attributes): ``_row`` with the geometry, and ``_row`` with the other columns in a struct.
+
+    The numbers are written before anything is shuffled, so a task that runs again cannot give the rings of one polygon
+    two numbers, and equal rows stay two polygons.
+    """
+    attributes = _attributes(df, geometry)
+    stored = materialize(df.select(F.monotonically_increasing_id().alias("_row"), F.struct(*attributes).alias("_attributes"), geometry), "polygons")
+    return stored.select("_row", "_attributes", geometry), stored.select("_row", "_attributes")
+
+
+def _named(cells: DataFrame, attributes: DataFrame, *columns: str) -> DataFrame:
+    """Cells per ``_row`` with the polygon's attributes.
+
+    A polygon may own very many cells; the cells come shuffled by the join's own exchange, so adaptive execution splits them.
+    """
+    return cells.join(attributes, "_row").select(*columns, "_attributes.*")
+
+
+def polyfill(df: DataFrame, r: int, key: str, geometry: str = "geometry", rejects: Rejects | None = None) -> DataFrame:
     """(key, cell) for the cells at ``r`` whose centre lies in the polygon; each row of ``df`` is a polygon of its own."""
-    pieces = cut(df.withColumn("_row", F.monotonically_increasing_id()), ["_row", key], r, geometry, fragments=False)
-    turns = pieces.groupBy("_row", key, "cell").agg(F.sum(F.col("sign") * F.col("winding")).alias("_turns"))
-    return turns.filter("_turns > 0.5").select(key, "cell")
+    return index_uniform(df.select(key, geometry), r, key, geometry, rejects).select(key, "cell")
 
 
-def index_uniform(df: DataFrame, r: int, key: str, geometry: str = "geometry") -> DataFrame:
+def index_uniform(df: DataFrame, r: int, key: str, geometry: str = "geometry", rejects: Rejects | None = None) -> DataFrame:
     """One row per cell and polygon with the polygon's attributes in place of its geometry; rows of one key stay apart.
 
-    The attributes travel with the pieces, which spares a join on a key that may own very many cells.
+    Only a number travels with the pieces; attributes join the cells at the end.
     """
-    attributes = _attributes(df, geometry)
-    packed = df.select(F.struct(*attributes).alias("_attributes"), F.monotonically_increasing_id().alias("_row"), geometry)
-    pieces = cut(packed, ["_row", "_attributes"], r, geometry, fragments=False)
-    turns = pieces.groupBy("_row", "cell").agg(
-        F.sum(F.col("sign") * F.col("winding")).alias("_turns"), F.any_value("_attributes").alias("_attributes")
-    )
-    return turns.filter("_turns > 0.5").select("cell", "_attributes.*")
+    polygons, attributes = _numbered(df, geometry)
+    pieces = cut(polygons, ["_row"], r, geometry, fragments=False, rejects=rejects)
+    turns = pieces.groupBy("_row", "cell").agg(F.sum(F.col("sign") * F.col("winding")).alias("_turns"))
+    return _named(turns.filter("_turns > 0.5"), attributes, "cell")
 
 
-def mesh(df: DataFrame, r: int, geometry: str = "geometry") -> DataFrame:
+def mesh(df: DataFrame, r: int, geometry: str = "geometry", rejects: Rejects | None = None) -> DataFrame:
     """Cells at ``r`` whose centre lies within 0.6 sqrt(area) of any polygon."""
-    return _near(cut(df, [], r, geometry, fragments=False), r)
+    return _near(cut(df, [], r, geometry, fragments=False, rejects=rejects), r)
 
 
 def _near(pieces: DataFrame, r: int) -> DataFrame:
@@ -58,26 +72,32 @@ def _near(pieces: DataFrame, r: int) -> DataFrame:
     return per_cell.filter((F.col("_turns") > 0.5) | (F.col("_distance") <= margin)).select("cell")
 
 
-def overlap_area(df: DataFrame, r: int, key: str, geometry: str = "geometry", targets: DataFrame | None = None) -> DataFrame:
-    """(key, cell, area in m2) for every polygon and cell at ``r`` that overlap; only ``targets``, if given."""
-    pieces = cut(df, [key], r, geometry, fragments=False)
+def overlap_area(
+    df: DataFrame, r: int, key: str, geometry: str = "geometry", targets: DataFrame | None = None, rejects: Rejects | None = None
+) -> DataFrame:
+    """(key, cell, area in m2) for every polygon and cell at ``r`` that overlap; only ``targets``, if given.
+
+    Each row of ``df`` is a polygon of its own: rows that share a key, or have none, give a row each.
+    """
+    polygons, attributes = _numbered(df.select(key, geometry), geometry)
+    pieces = cut(polygons, ["_row"], r, geometry, fragments=False, rejects=rejects)
     if targets is not None:
         pieces = pieces.join(targets.select("cell").distinct(), "cell", "left_semi")
-    areas = pieces.groupBy(key, "cell").agg(F.sum(F.col("sign") * F.col("area")).alias("area"))
-    return areas.filter(F.col("area") > SLACK * G.cell_area_m2(r))
+    areas = pieces.groupBy("_row", "cell").agg(F.sum(F.col("sign") * F.col("area")).alias("area"))
+    return _named(areas.filter(F.col("area") > SLACK * G.cell_area_m2(r)), attributes, "cell", "area").select(key, "cell", "area")
 
 
-def clip_to_cells(df: DataFrame, r: int, key: str, geometry: str = "geometry") -> DataFrame:
+def clip_to_cells(df: DataFrame, r: int, key: str, geometry: str = "geometry", rejects: Rejects | None = None) -> DataFrame:
     """(key, cell, ring, hole): the rings of each polygon clipped to each cell at ``r``."""
-    pieces = cut(df, [key], r, geometry, exact=True)
+    pieces = cut(df.select(key, geometry), [key], r, geometry, exact=True, rejects=rejects)
     ring = F.zip_with("xs", "ys", lambda x, y: F.struct(x.alias("x"), y.alias("y")))
     solid = F.abs(F.col("area")) > SLACK * G.cell_area_m2(r)
     return pieces.filter(solid).select(key, "cell", ring.alias("ring"), (F.col("sign") * F.signum("area") < 0).alias("hole"))
 
 
-def class_share(df: DataFrame, column: str, r: int, geometry: str = "geometry") -> DataFrame:
+def class_share(df: DataFrame, column: str, r: int, geometry: str = "geometry", rejects: Rejects | None = None) -> DataFrame:
     """(cell, class, share of the cell's area); polygons without a class do not count."""
-    pieces = cut(df.filter(F.col(column).isNotNull()), [column], r, geometry, fragments=False)
+    pieces = cut(df.filter(F.col(column).isNotNull()), [column], r, geometry, fragments=False, rejects=rejects)
     return _shares(pieces, column, r)
 
 
@@ -116,6 +136,7 @@ def index_adaptive_partition(
     tx_spatial: float = 0.5,
     mesh_cells: DataFrame | None = None,
     geometry: str = "geometry",
+    rejects: Rejects | None = None,
 ) -> DataFrame:
     """Adaptive cells (cell, class) of a layer whose polygons do not overlap: coarse where one class fills a cell.
 
@@ -124,7 +145,7 @@ def index_adaptive_partition(
     ``mesh_cells`` at ``res_min``, by default those of :func:`mesh`.  Only whether anything is left to split reaches
     the driver; every level is one stored table of fragments, so a lost executor costs one level at most.
     """
-    pieces = materialize(cut(df.select(column, geometry), [column], res_min, geometry), "level")
+    pieces = materialize(cut(df.select(column, geometry), [column], res_min, geometry, rejects=rejects), "level")
     cells = _near(pieces, res_min) if mesh_cells is None else mesh_cells.select("cell").distinct()
     pieces = pieces.join(cells, "cell", "left_semi").filter(F.col(column).isNotNull())
     found = []
@@ -158,6 +179,7 @@ def index_adaptive_objects(
     res_max: int,
     fast: bool = False,
     geometry: str = "geometry",
+    rejects: Rejects | None = None,
 ) -> DataFrame:
     """Adaptive cells of objects that may overlap: (cell, attributes), each object on its own.
 
@@ -165,33 +187,30 @@ def index_adaptive_objects(
     object touches it, for which the cell counts with a margin unless ``fast``.
     """
     limits = [*tx[:res_max], 0.5]
-    attributes = _attributes(df, geometry)
-    packed = df.select(F.struct(*attributes).alias("_attributes"), F.monotonically_increasing_id().alias("_row"), geometry)
-    keep = ["_row", "_attributes"]
-    pieces = materialize(cut(packed, keep, res_min, geometry), "level")
+    polygons, attributes = _numbered(df, geometry)
+    pieces = materialize(cut(polygons, ["_row"], res_min, geometry, rejects=rejects), "level")
     found = []
     for r in range(res_min, res_max + 1):
         full = G.cell_area_m2(r)
         cells = pieces.groupBy("_row", "cell").agg(
             F.sum(F.col("sign") * F.col("area")).alias("_area"),
             F.sum(F.col("sign") * F.col("area_wide")).alias("_wide"),
-            F.any_value("_attributes").alias("_attributes"),
         )
         touched = F.col("_area" if fast else "_wide") > 1e-12 * full
         valid = touched & (F.col("_area") >= limits[r] * full - SLACK * full)
         if r == res_max:
-            found.append(cells.filter(valid).select("cell", "_attributes"))
+            found.append(cells.filter(valid).select("_row", "cell"))
             break
-        decided = materialize(cells.select("_row", "cell", "_attributes", valid.alias("_valid"), touched.alias("_touched")), "decided")
-        found.append(decided.filter("_valid").select("cell", "_attributes"))
+        decided = materialize(cells.select("_row", "cell", valid.alias("_valid"), touched.alias("_touched")), "decided")
+        found.append(decided.filter("_valid").select("_row", "cell"))
         left = pieces.join(decided.filter("_touched and not _valid").select("_row", "cell"), ["_row", "cell"], "left_semi")
-        pieces = materialize(_onward(left, keep, r), "level")
+        pieces = materialize(_onward(left, ["_row"], r), "level")
         if pieces.isEmpty():
             break
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
-    return out.select("cell", "_attributes.*")
+    return _named(out, attributes, "cell")
 
 
 def geom_view(df: DataFrame, cell: str = "cell", out: str = "geometry") -> DataFrame:

@@ -245,3 +245,76 @@ def test_geom_view(spark):
     rows = X.geom_view(cells).orderBy("id").collect()
     assert [r.id for r in rows] == list(range(1, 7)) and all(len(r.geometry) == 7 for r in rows)
     assert [r.cell for r in rows] == sorted(r.cell for r in rows)
+
+
+def square(x, y, side):
+    return [(x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y)]
+
+
+def frame(spark, shapes):
+    return spark.createDataFrame([(k, "c", None if shape is None else floats(shape)) for k, shape in shapes.items()], f"id int, cls string, geometry {GEOMETRY}")
+
+
+def test_oversize_ring_keeps_its_area(spark):
+    """Wider than a base cell: it starts at all base cells that its extent meets."""
+    big = square(-3_600_000, -3_700_000, 8_000_000)
+    hollow = [big, square(-1_000_000, -1_000_000, 3_000_000)]
+    df = frame(spark, {1: [[big]], 2: [hollow], 3: [[SQUARE, HOLE]]})
+    want = {1: 64e12, 2: 55e12, 3: total([[SQUARE, HOLE]])}
+    for r in (0, 1, 2):
+        got = {k: a for k, a in X.overlap_area(df, r, "id").groupBy("id").agg(F.sum("area")).collect()}
+        assert got == {k: pytest.approx(a, rel=1e-9) for k, a in want.items()}
+    cells = {r.id: r.n for r in X.polyfill(df, 2, "id").groupBy("id").agg(F.count("*").alias("n")).collect()}
+    assert cells[1] == pytest.approx(64e12 / G.cell_area_m2(2), rel=0.05) and cells[2] == pytest.approx(55e12 / G.cell_area_m2(2), rel=0.05)
+
+
+def test_polygons_off_the_grid_are_reported(spark):
+    far = square(3e7, 3e7, 40_000)
+    edge_x, edge_y = G.axial_to_metres(4, 0, 0)
+    edge = square(G.ORIGIN[0] + edge_x, G.ORIGIN[1] + edge_y, 4_000_000)
+    nan, inf = float("nan"), float("inf")
+    shapes = {1: [[SQUARE, HOLE]], 2: [[far]], 3: [[edge]], 4: [[SQUARE], [far]], 5: None, 6: [], 7: [[]], 8: [[SQUARE[:2]]], 9: [[[(0, 0), (1, 1), (2, 2), (0, 0)]]],
+              10: [[[(0, 0), (nan, 1), (1, 1), (0, 0)]]], 11: [[[(0, 0), (inf, 1), (1, 1), (0, 0)]]], 12: [[square(1e300, 1e300, 1e299)]], 13: [[square(-1e16, 3, 1000)]]}
+    df = frame(spark, shapes)
+    for index in (lambda **k: X.overlap_area(df, 3, "id", **k), lambda **k: X.index_uniform(df, 3, "id", **k), lambda **k: X.mesh(df, 3, **k),
+                  lambda **k: X.index_adaptive_objects(df, "id", [0.9] * 16, 2, 3, **k)):
+        with pytest.raises(R.OffGrid, match="off grid"):
+            index()
+        rejects = R.Rejects()
+        assert index(rejects=rejects).count() > 0
+        told = {(r.id, r.polygon, r.ring, r.reason): r for r in rejects.table.collect()}
+        assert set(told) == {(2, 0, 0, "off grid"), (3, 0, 0, "partly off grid"), (4, 1, 0, "off grid"), (5, None, None, "no geometry"), (6, None, None, "no geometry"), (7, 0, None, "no geometry"),
+                             (8, 0, 0, "few points"), (9, 0, 0, "no area"), (10, 0, 0, "not finite"), (11, 0, 0, "not finite"), (12, 0, 0, "not finite"), (13, 0, 0, "off grid")}
+        assert rejects.count == len(told)
+    rejects = R.Rejects()
+    areas = {r.id: r.area for r in X.overlap_area(df, 3, "id", rejects=rejects).groupBy("id").agg(F.sum("area").alias("area")).collect()}
+    outside = {r.id: r.outside for r in rejects.table.filter("outside is not null").collect()}
+    assert set(areas) == {1, 3, 4} and areas[3] + outside[3] == pytest.approx(16e12, rel=1e-9) and outside[2] == pytest.approx(1.6e9, rel=1e-9)
+    assert areas[4] == pytest.approx(area_of(SQUARE), rel=1e-9)
+
+
+def test_clean_layers_need_no_second_look(spark, layer, monkeypatch):
+    def never(*_):
+        raise AssertionError
+
+    monkeypatch.setattr(R, "_rejected", never)
+    assert X.overlap_area(layer, 7, "id").count() > 0
+
+
+def test_placement_equals_the_column_functions(spark):
+    """Ids made in NumPy are those of the column functions, also beyond the base cells."""
+    rng = np.random.default_rng(0)
+    i, j, level = rng.integers(-40_000, 40_000, 600), rng.integers(-40_000, 40_000, 600), rng.integers(0, 16, 600)
+    i[:200], j[:200], level[:200] = i[:200] % 9 - 4, j[:200] % 9 - 4, level[:200] % 4
+    df = spark.createDataFrame([tuple(map(int, r)) for r in zip(range(600), i, j, level)], "n int, i bigint, j bigint, level int")
+    rows = df.select("n", G.encode(F.struct("i", "j"), F.col("level")).alias("cell")).orderBy("n").collect()
+    got = R.encode(i, j, level)
+    assert [R.NO_CELL if r.cell is None else r.cell for r in rows] == got.tolist() and (got == R.NO_CELL).any() and (got != R.NO_CELL).sum() > 200
+
+
+def test_polygons_of_one_key_keep_their_areas(spark, layer):
+    """Two rows of one key, equal or not, are two polygons; so are rows without a key."""
+    twice = layer.select("id", "geometry").unionByName(layer.select("id", "geometry"))
+    once = sorted(r.area for r in X.overlap_area(layer, 7, "id").collect())
+    for df in (twice, twice.withColumn("id", F.lit(None).cast("int"))):
+        assert sorted(r.area for r in X.overlap_area(df, 7, "id").collect()) == pytest.approx(sorted(once * 2))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hexmart.functions import cells as C
 from hexmart.functions import grid as G
 from hexmart.functions import projection as PR
+from hexmart.operators.rings import EDGE_MARGIN
 from hexmart.plans import indexing as X
 from workload import standins as S
 from workload.registry import query, table
@@ -71,22 +72,88 @@ def sql_ids(r: int, source: str) -> str:
     return ", ".join(steps)
 
 
-def sql_overlap(r: int) -> str:
-    """Area of plot and hexagon: the width common to both is linear between known heights, so trapezia are exact."""
-    s = G.spacing(r)
-    big = s / math.sqrt(3)
-    cuts = ", ".join(
-        f"least(greatest(v, greatest(y0, cy - {_f(big)})), least(y1, cy + {_f(big)}))".replace("v,", f"{v},", 1)
-        for v in [
-            "y0", "y1", f"cy - {_f(big)}", f"cy + {_f(big)}", f"cy - {_f(big / 2)}", f"cy + {_f(big / 2)}",
-            *[f"cy {sign} {_f(big)} * (1 - least(abs({x} - cx) / {_f(s)}, 0.5::DOUBLE))" for x in ("x0", "x1") for sign in "+-"],
-        ]
-    )
-    half = f"least({_f(s / 2)}, {_f(s)} * ({_f(big)} - abs(y - cy)) / {_f(big)})"
-    width = f"greatest(0, least(x1, cx + {half}) - greatest(x0, cx - {half}))"
-    return f"""cuts AS (SELECT *, list_sort([{cuts}]) AS ys FROM near WHERE cy - {_f(big)} < y1 AND cy + {_f(big)} > y0 AND cx - {_f(s / 2)} < x1 AND cx + {_f(s / 2)} > x0),
-widths AS (SELECT *, list_transform(ys, lambda y: {width}) AS ws FROM cuts),
-overlap AS (SELECT p_partkey, p_brand, i, j, list_sum(list_transform(range(1, len(ys)), lambda n: (ys[n + 1] - ys[n]) * (ws[n] + ws[n + 1]) / 2)) AS area FROM widths)"""
+def _inside(bounds: list[tuple[float | str, str, str]]) -> str:
+    """Length of the part of [0, 1] where every bound holds; a bound (slope, start, limit) asks for start + t * slope <= limit.
+
+    A slope is a number, or a number times a positive column as text with its sign in front.
+    """
+    low, high = ["0::DOUBLE"], ["1::DOUBLE"]
+    for slope, start, limit in bounds:
+        if slope == 0:
+            high.append(f"CASE WHEN {start} <= {limit} THEN 1::DOUBLE ELSE -1::DOUBLE END")
+            continue
+        falls = str(slope).startswith("-")
+        (low if falls else high).append(f"(({limit}) - ({start})) / ({_f(slope) if isinstance(slope, float) else slope})")
+    return f"greatest(0::DOUBLE, least({', '.join(high)}) - greatest({', '.join(low)}))"
+
+
+def sql_edges(r: int, margin: float = 0.0) -> tuple[str, str]:
+    """(area, perimeter) of what a plot and the hexagon of level ``r`` have in common, by plain sums over edges.
+
+    The border of the common part of two convex shapes is made of the edges of each that lie inside the other. An edge's part
+    inside is an interval of its parameter, cut by the other's half-planes; the area is half the sum of the cross products of its ends.
+    Columns: X0, X1, Y0, Y1, the plot's sides relative to the centre, and W, H, its size.
+    """
+    half, turn = G.spacing(r) / 2 + margin, G.turn(r)
+    clean = lambda v: 0.0 if abs(v) < 1e-12 else v
+    normals = [(clean(math.cos(turn + k * math.pi / 3)), clean(math.sin(turn + k * math.pi / 3))) for k in range(6)]
+    corner = [(half * 2 / math.sqrt(3) * math.cos(turn + (2 * k + 1) * math.pi / 6), half * 2 / math.sqrt(3) * math.sin(turn + (2 * k + 1) * math.pi / 6)) for k in range(6)]
+    area, perimeter = [], []
+    for x, y, dx, dy, length in (("X0", "Y0", 1, 0, "W"), ("X1", "Y0", 0, 1, "H"), ("X1", "Y1", -1, 0, "W"), ("X0", "Y1", 0, -1, "H")):
+        bounds = []
+        for nx, ny in normals:
+            along = clean(nx * dx + ny * dy)
+            bounds.append((0 if not along else f"{'-' if along < 0 else ''}{_f(abs(along))} * {length}", f"{_f(nx)} * {x} + {_f(ny)} * {y}", _f(half)))
+        part = _inside(bounds)
+        area.append(f"{part} * ({x} * {dy} - {y} * {dx}) * {length}")
+        perimeter.append(f"{part} * {length}")
+    for k, (px, py) in enumerate(corner):
+        qx, qy = corner[(k + 1) % 6]
+        dx, dy = clean(float(f"{qx - px:.9f}")) and qx - px, clean(float(f"{qy - py:.9f}")) and qy - py
+        part = _inside([(v, _f(sign * at), limit) for v, at, sign, limit in ((dx, px, 1, "X1"), (-dx, px, -1, "-X0"), (dy, py, 1, "Y1"), (-dy, py, -1, "-Y0"))])
+        area.append(f"{part} * {_f(px * dy - py * dx)}")
+        perimeter.append(f"{part} * {_f(math.hypot(dx, dy))}")
+    return f"({' + '.join(area)}) / 2", " + ".join(perimeter)
+
+
+def sql_centre(r: int) -> tuple[str, str]:
+    (ix, iy), (jx, jy) = G.axial_to_metres(1, 0, r), G.axial_to_metres(0, 1, r)
+    return f"{_f(G.ORIGIN[0])} + i * {_f(ix)} + j * {_f(jx)}", f"{_f(G.ORIGIN[1])} + i * {_f(iy)} + j * {_f(jy)}"
+
+
+SLACK = X.SLACK
+
+
+def sql_overlap(r: int, source: str = "near", name: str = "overlap") -> str:
+    """CTE ``name``: plot, cell of ``source`` and the area and perimeter of what they share, without grazing contact."""
+    cx, cy = sql_centre(r)
+    area, perimeter = sql_edges(r)
+    return f"""{name} AS (SELECT p_partkey, p_brand, i, j, {area} AS area, {perimeter} AS perimeter FROM (
+  SELECT p_partkey, p_brand, i, j, x0 - ({cx}) AS X0, x1 - ({cx}) AS X1, y0 - ({cy}) AS Y0, y1 - ({cy}) AS Y1, x1 - x0 AS W, y1 - y0 AS H FROM {source})
+  WHERE area > {_f(SLACK * G.cell_area_m2(r))})"""
+
+
+def sql_children(r: int, source: str) -> str:
+    """Select the children (i, j) at level ``r`` of the cells of ``source``, with its other columns."""
+    step = "unnest([" + ", ".join(f"{{'a': {a}, 'b': {b}}}" for a, b in G.STEPS) + "]) AS step"
+    up = ("3 * i + j", "2 * j - i") if r % 2 else ("2 * i - j", "i + 3 * j")
+    return f"SELECT * EXCLUDE (step, i, j, ci, cj), ci + step.a AS i, cj + step.b AS j FROM (SELECT *, {up[0]} AS ci, {up[1]} AS cj, {step} FROM {source})"
+
+
+def sql_levels(lo: int, hi: int) -> str:
+    """CTEs near{r}: plots with all cells whose descendants may touch them, from ``lo`` (even) down to ``hi``."""
+    steps = [sql_near(lo, 0.85 * G.spacing(lo)).replace("near AS (", f"near{lo} AS (")]
+    for r in range(lo + 1, hi + 1):
+        cx, cy = sql_centre(r)
+        far = f"sqrt(greatest(x0 - ({cx}), ({cx}) - x1, 0) ** 2 + greatest(y0 - ({cy}), ({cy}) - y1, 0) ** 2)"
+        steps.append(f"near{r} AS (SELECT * FROM ({sql_children(r, f'(SELECT p_partkey, p_brand, x0, x1, y0, y1, i, j FROM near{r - 1})')}) WHERE {far} <= {_f(0.85 * G.spacing(r))})")
+    return ", ".join(steps)
+
+
+def sql_found(levels: range, columns: str) -> str:
+    """CTEs with ids of the valid cells of each level, and their union."""
+    parts = [f"SELECT hex_id, {columns} FROM valid{r} JOIN (WITH {sql_ids(r, f'valid{r}')} SELECT * FROM ids) USING (i, j)" for r in levels]
+    return " UNION ALL ".join(parts)
 
 
 def _hex(df: DataFrame) -> DataFrame:
@@ -120,46 +187,95 @@ def mesh(spark: SparkSession, sf: str) -> DataFrame:
 SQL_OVERLAP = f"WITH {SQL_PLOTS}, {sql_near(MID, G.spacing(MID))}, {sql_overlap(MID)}, {sql_ids(MID, 'overlap')}"
 
 
-@query("overlap_area", f"{SQL_OVERLAP} SELECT p_partkey, hex_id, round(area) AS area FROM overlap JOIN ids USING (i, j) WHERE area >= 0.5")
+@query("overlap_area", f"{SQL_OVERLAP} SELECT p_partkey, hex_id, round(area) AS area FROM overlap JOIN ids USING (i, j)")
 def overlap_area(spark: SparkSession, sf: str) -> DataFrame:
-    areas = _hex(X.overlap_area(layer(spark, sf), MID, "p_partkey"))
-    return areas.filter("area >= 0.5").withColumn("area", F.round("area"))
+    return _hex(X.overlap_area(layer(spark, sf), MID, "p_partkey")).withColumn("area", F.round("area"))
 
 
 @query("intersection_area", f"""WITH {SQL_PLOTS}, {sql_near(FINE, G.spacing(FINE))}, {sql_overlap(FINE)}, {sql_ids(FINE, 'overlap')}
-SELECT p_partkey, hex_id, round(area) AS area FROM overlap JOIN ids USING (i, j) WHERE area >= 0.5""")
+SELECT p_partkey, hex_id, round(area) AS area FROM overlap JOIN ids USING (i, j)""")
 def intersection_area(spark: SparkSession, sf: str) -> DataFrame:
-    areas = _hex(X.overlap_area(layer(spark, sf), FINE, "p_partkey"))
-    return areas.filter("area >= 0.5").withColumn("area", F.round("area"))
+    return _hex(X.overlap_area(layer(spark, sf), FINE, "p_partkey")).withColumn("area", F.round("area"))
 
 
-@query("spatial_join_cells", f"{SQL_OVERLAP} SELECT p_partkey, hex_id FROM overlap JOIN ids USING (i, j) WHERE area >= 0.5")
+@query("spatial_join_cells", f"{SQL_OVERLAP} SELECT p_partkey, hex_id FROM overlap JOIN ids USING (i, j)")
 def spatial_join_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of polygon and cell that overlap, found by cutting the polygons into the cells."""
-    pairs = X.overlap_area(layer(spark, sf), MID, "p_partkey").filter("area >= 0.5")
-    return _hex(pairs).select("p_partkey", "hex_id")
+    return _hex(X.overlap_area(layer(spark, sf), MID, "p_partkey")).select("p_partkey", "hex_id")
 
 
 @query("class_share", f"""{SQL_OVERLAP}, shares AS (SELECT i, j, p_brand, sum(area) / {_f(G.cell_area_m2(MID))} AS share FROM overlap GROUP BY 1, 2, 3)
-SELECT hex_id, p_brand, round(share, 5) AS share FROM shares JOIN ids USING (i, j) WHERE share > 0.00001""")
+SELECT hex_id, p_brand, round(share, 5) AS share FROM shares JOIN ids USING (i, j)""")
 def class_share(spark: SparkSession, sf: str) -> DataFrame:
-    shares = _hex(X.class_share(layer(spark, sf), "p_brand", MID)).filter("share > 0.00001")
+    shares = _hex(X.class_share(layer(spark, sf), "p_brand", MID))
     return shares.withColumn("share", F.round("share", 5))
 
 
-@query("clip_to_cells")
+@query("clip_to_cells", f"""{SQL_OVERLAP} SELECT p_partkey, hex_id, round(area) AS area, round(perimeter) AS perimeter, FALSE AS hole FROM overlap JOIN ids USING (i, j)""")
 def clip_to_cells(spark: SparkSession, sf: str) -> DataFrame:
-    return _hex(X.clip_to_cells(layer(spark, sf), MID, "p_partkey"))
+    """The clipped rings, told by their area and perimeter."""
+    rings = _hex(X.clip_to_cells(layer(spark, sf), MID, "p_partkey"))
+    edges = F.zip_with("ring", F.concat(F.slice("ring", 2, F.size("ring") - 1), F.slice("ring", 1, 1)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    origin = F.get("ring", 0)
+    cross = lambda e: (e.a.x - origin.x) * (e.b.y - origin.y) - (e.b.x - origin.x) * (e.a.y - origin.y)
+    area = F.abs(F.aggregate(edges, F.lit(0.0), lambda t, e: t + cross(e))) / 2
+    perimeter = F.aggregate(edges, F.lit(0.0), lambda t, e: t + F.hypot(e.b.x - e.a.x, e.b.y - e.a.y))
+    return rings.select("p_partkey", "hex_id", F.round(area).alias("area"), F.round(perimeter).alias("perimeter"), "hole")
+
+
+COARSEST, FINEST = 6, 11
+_LEVELS = range(COARSEST, FINEST + 1)
+_TX = C.thresholds(7)
+_COARSE_MARGIN = X.MESH_MARGIN * math.sqrt(G.cell_area_m2(COARSEST))
+
+
+def _sql_partition() -> str:
+    """Decisions level by level: shares of the cells still open, then valid cells, then the children of the rest."""
+    steps = [f"""open{COARSEST} AS (SELECT DISTINCT i, j FROM near{COARSEST} WHERE sqrt(greatest(x0 - cx, cx - x1, 0) ** 2 + greatest(y0 - cy, cy - y1, 0) ** 2) <= {_f(_COARSE_MARGIN)})"""]
+    for r in _LEVELS:
+        tx = _f(_TX[r])
+        state = "total >= 0.5 - 1e-9" if r == FINEST else f"total >= 1 - {tx} - 1e-9 AND top >= {tx} - 1e-9"
+        steps += [
+            sql_overlap(r, f"near{r}", f"overlap{r}"),
+            f"share{r} AS (SELECT i, j, p_brand, sum(area) / {_f(G.cell_area_m2(r))} AS share FROM overlap{r} JOIN open{r} USING (i, j) GROUP BY ALL)",
+            f"""cell{r} AS (SELECT i, j, sum(share) AS total, max(share) AS top, arg_min(p_brand, {{'s': -round(share, 9), 'b': p_brand}}) AS p_brand
+  FROM share{r} WHERE share > {_f(SLACK)} GROUP BY i, j)""",
+            f"valid{r} AS (SELECT i, j, p_brand FROM cell{r} WHERE {state})",
+        ]
+        if r < FINEST:
+            left = f"(SELECT i, j FROM cell{r} WHERE total >= 1 - {tx} - 1e-9 AND top < {tx} - 1e-9)"
+            steps.append(f"open{r + 1} AS ({sql_children(r + 1, left)})")
+    return f"WITH {SQL_PLOTS}, {sql_levels(COARSEST, FINEST)}, {', '.join(steps)} {sql_found(_LEVELS, 'p_brand')}"
 
 
-@query("index_adaptive_partition")
+@query("index_adaptive_partition", _sql_partition())
 def index_adaptive_partition(spark: SparkSession, sf: str) -> DataFrame:
-    return _hex(X.index_adaptive_partition(layer(spark, sf), "p_brand", C.thresholds(7), 7, 10))
-
-
-@query("index_adaptive_objects")
+    return _hex(X.index_adaptive_partition(layer(spark, sf), "p_brand", _TX, COARSEST, FINEST))
+
+
+def _sql_objects() -> str:
+    """The same for each plot alone, whose cells are split while the plot touches their widened hexagon."""
+    steps = [f"open{COARSEST} AS (SELECT p_partkey, p_brand, x0, x1, y0, y1, i, j FROM near{COARSEST})"]
+    for r in _LEVELS:
+        full = G.cell_area_m2(r)
+        cx, cy = sql_centre(r)
+        areas = [sql_edges(r, margin)[0] for margin in (0.0, EDGE_MARGIN * math.sqrt(full))]
+        steps.append(f"""cell{r} AS (SELECT *, {areas[0]} AS area, {areas[1]} AS wide FROM (
+  SELECT *, x0 - ({cx}) AS X0, x1 - ({cx}) AS X1, y0 - ({cy}) AS Y0, y1 - ({cy}) AS Y1, x1 - x0 AS W, y1 - y0 AS H FROM open{r}))""".replace("SELECT *, x0", "SELECT p_partkey, p_brand, x0 AS px0, x1 AS px1, y0 AS py0, y1 AS py1, i, j, x0"))
+        limit = _f((0.5 if r == FINEST else _TX[r]) * full - SLACK * full)
+        touched = f"wide > {_f(1e-12 * full)}"
+        steps.append(f"valid{r} AS (SELECT p_partkey, p_brand, i, j FROM cell{r} WHERE {touched} AND area >= {limit})")
+        if r < FINEST:
+            left = f"(SELECT p_partkey, p_brand, px0 AS x0, px1 AS x1, py0 AS y0, py1 AS y1, i, j FROM cell{r} WHERE {touched} AND area < {limit})"
+            steps.append(f"open{r + 1} AS ({sql_children(r + 1, left)})")
+    found = " UNION ALL ".join(
+        f"SELECT hex_id, p_partkey, p_brand FROM valid{r} JOIN (WITH {sql_ids(r, f'valid{r}')} SELECT * FROM ids) USING (i, j)" for r in _LEVELS)
+    return f"WITH {SQL_PLOTS}, {sql_near(COARSEST, 0.85 * G.spacing(COARSEST)).replace('near AS (', f'near{COARSEST} AS (')}, {', '.join(steps)} {found}"
+
+
+@query("index_adaptive_objects", _sql_objects())
 def index_adaptive_objects(spark: SparkSession, sf: str) -> DataFrame:
-    return _hex(X.index_adaptive_objects(layer(spark, sf), "p_partkey", C.thresholds(7), 7, 10))
+    return _hex(X.index_adaptive_objects(layer(spark, sf), "p_partkey", _TX, COARSEST, FINEST)).select("hex_id", "p_partkey", "p_brand")
 
 
 # At one resolution the adaptive index of a partition is decided by the shares alone, which SQL can follow.
