@@ -2,46 +2,43 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexmart.functions import cells as C
+from hexmart.operators.skew import heavy_keys, key_counts, weighted_join
 from hexmart.session import materialize
 
-# One ancestor can stand above 7^gap cells; above this many its rows are spread over several tasks.
+# An ancestor with more cells below it is spread over several tasks.
 ROWS_PER_SALT = 1_000_000
-MAX_SALTS = 64
-
 
-def _salts(gap: Column) -> Column:
-    """How many ways to split the rows below an ancestor that lies ``gap`` levels above the finest cell."""
-    return F.least(F.lit(MAX_SALTS), F.greatest(F.lit(1), F.ceil(F.pow(F.lit(7.0), gap) / ROWS_PER_SALT))).cast("int")
 
+def _ancestors(cells: DataFrame, lo: Column, hi: Column) -> DataFrame:
+    """One row per (cell, ancestor level in lo..hi)."""
+    levels = cells.withColumn("lo", lo).withColumn("hi", hi).filter(F.col("lo") <= F.col("hi"))
+    return levels.withColumn("lvl", F.explode(F.sequence("lo", "hi"))).select("cell", "lvl", C.parent("cell", F.col("lvl")).alias("anc"))
 
-def _with_ancestors(cells: DataFrame, lo: Column, hi: Column, finest: int) -> DataFrame:
-    """One row per (cell, ancestor level in lo..hi), salted for the join on ``anc``."""
-    return (
-        cells.withColumn("lo", lo)
-        .withColumn("hi", hi)
-        .filter(F.col("lo") <= F.col("hi"))
-        .withColumn("lvl", F.explode(F.sequence("lo", "hi")))
-        .withColumn("anc", C.parent("cell", F.col("lvl")))
-        .withColumn("salt", F.pmod(F.xxhash64("cell"), _salts(F.lit(finest) - F.col("lvl"))).cast("int"))
-        .select("cell", "lvl", "anc", "salt")
-    )
 
+def _meet_ancestors(chains: DataFrame, among: DataFrame, coarsest: int, finest: int) -> DataFrame:
+    """``chains`` joined with the cells ``among`` on ``anc``, split by how many cells stand below an ancestor.
 
-def _replicated(cells: DataFrame, finest: int) -> DataFrame:
-    """The other side of that join; only coarse cells, of which there are few, get more than one copy."""
-    copies = F.sequence(F.lit(0), _salts(F.greatest(F.lit(finest) - C.resolution("cell"), F.lit(0))) - 1)
-    return cells.select(F.col("cell").alias("anc"), F.explode(copies).alias("salt"))
+    Only an ancestor enough levels above the finest cell can have more than ``ROWS_PER_SALT`` cells below it.  Those levels are
+    coarse, so their counts shrink to a few rows on the map side; without such levels nothing is counted.
+    """
+    gap = math.floor(math.log(ROWS_PER_SALT) / math.log(7)) + 1
+    heavy = None
+    if coarsest + gap <= finest:
+        heavy = heavy_keys(key_counts(chains.filter(F.col("lvl") <= finest - gap).select("anc"), "anc"), "anc", ROWS_PER_SALT)
+    return weighted_join(chains, among.select(F.col("cell").alias("anc")), "anc", left_heavy=heavy)
 
 
 def nearest_ancestor(cells: DataFrame, among: DataFrame, lo: int, strict: bool, finest: int = C.MAX_RES) -> DataFrame:
     """For each cell its nearest ancestor in ``among`` at resolution ``lo`` or finer: (cell, lvl)."""
     hi = C.resolution("cell") - (1 if strict else 0)
-    chains = _with_ancestors(cells, F.lit(lo), hi, finest)
-    return chains.join(_replicated(among, finest), ["anc", "salt"]).groupBy("cell").agg(F.max("lvl").alias("lvl"))
+    chains = _ancestors(cells.select("cell"), F.lit(lo), hi)
+    return _meet_ancestors(chains, among, lo, finest).groupBy("cell").agg(F.max("lvl").alias("lvl"))
 
 
 def adaptive_join(
@@ -85,9 +82,6 @@ def link_cells(
     shadow = nearest_ancestor(reachable, targets, src_res_min, strict=True, finest=res_max)
     first = F.greatest(F.coalesce("lvl", F.lit(-1)) + 1, F.lit(src_res_min))
     offers = reachable.join(shadow, "cell", "left").select("cell", first.alias("from_lvl"))
-    down_pairs = (
-        _with_ancestors(offers, F.col("from_lvl"), C.resolution("cell") - 1, res_max)
-        .join(_replicated(rest, res_max), ["anc", "salt"])
-        .select(F.col("anc").alias("src"), F.col("cell").alias("tar"))
-    )
+    chains = _ancestors(offers, F.col("from_lvl"), C.resolution("cell") - 1)
+    down_pairs = _meet_ancestors(chains, rest, src_res_min, res_max).select(F.col("anc").alias("src"), F.col("cell").alias("tar"))
     return up_pairs.unionByName(down_pairs)

@@ -1,4 +1,4 @@
-"""What a cell column looks like, and joins that spread its very frequent cells."""
+"""Joins split by measured key weight, and what a cell column looks like."""
 
 from __future__ import annotations
 
@@ -10,51 +10,72 @@ from pyspark.sql import functions as F
 from hexmart.functions import cells as C
 from hexmart.session import materialize
 
-HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 1000
+# A key with more rows than this, or than one ten-thousandth of its table, is spread over several tasks.
+ROWS_PER_TASK = 1_000_000
+MOST_HEAVY = 10_000
 
 
-@dataclass(frozen=True)
-class CellProfile:
-    """Resolution range of a table, the cells that hold very many of its rows, and its distinct cells, stored."""
-
-    lo: int
-    hi: int
-    hot: tuple[int, ...] = ()
-    cells: DataFrame | None = field(default=None, compare=False)
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """(key, _n): rows per key, pre-aggregated on the map side and stored."""
+    return materialize(df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
 
 
-def cell_profile(df: DataFrame, cell: str = "cell", hot_rows: int = HOT_ROWS) -> CellProfile:
-    """One pass over the cell column alone, pre-aggregated per cell and stored, so that nothing later needs the table
-    again to learn about its cells.
+def heavy_keys(counts: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """(key, _ways) for the keys that one task should not carry alone, or None if there are none.
 
-    A cell is hot above ``hot_rows`` rows or one thousandth of the table, whichever is more, so there are at most
-    a thousand of them; they are only listed if there are any.
+    A key is heavy above ``rows_per_task`` rows or a ten-thousandth of all rows, whichever is more.  So fewer than
+    ``MOST_HEAVY`` keys can be heavy at any size, which bounds the broadcast of them, and a task gets a bounded share.
     """
-    named = df.filter(F.col(cell).isNotNull()).groupBy(F.col(cell).alias("cell"))
-    counts = materialize(named.agg(F.count("*").alias("_n")), "cells")
-    lo, hi, most, rows = counts.agg(F.min(C.resolution("cell")), F.max(C.resolution("cell")), F.max("_n"), F.sum("_n")).first()
-    if lo is None:
-        raise ValueError("the table has no cells")
-    limit = max(hot_rows, rows // MAX_HOT_KEYS)
-    hot = counts.filter(F.col("_n") > limit).select("cell").collect() if most > limit else []
-    return CellProfile(lo, hi, tuple(row[0] for row in hot), counts.select("cell"))
+    most, total = counts.agg(F.max("_n"), F.sum("_n")).first()
+    limit = max(rows_per_task, -(-(total or 0) // MOST_HEAVY))
+    if most is None or most <= limit:
+        return None
+    return counts.filter(F.col("_n") > limit).select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_ways"))
 
 
-def salted_join(
-    left: DataFrame, right: DataFrame, on: str, how: str = "inner", hot: tuple[int, ...] = (), salts: int = 32
+def weighted_join(
+    left: DataFrame, right: DataFrame, on: str, how: str = "inner", left_heavy: DataFrame | None = None, right_heavy: DataFrame | None = None
 ) -> DataFrame:
-    """Equi join on ``on`` that spreads the left rows of the ``hot`` keys over ``salts`` tasks.
+    """Equi join on ``on`` in which each heavy key is spread by its own weight; both weights come from :func:`heavy_keys`.
 
-    ``how`` is inner or left.  Only right rows of hot keys are copied; all others keep salt 0.  Without hot keys this
-    is a plain join, in which adaptive execution still splits what it finds skewed.
+    A left row of a key takes one of the key's left salts by its content and is copied to the key's right salts, a
+    right row the other way round, so every pair meets once.  Keys that are not heavy have one salt of each kind.  ``how`` is
+    inner or left; a left join splits the left side alone.  Left rows of one key that are equal in all columns stay together.
     """
     if how not in ("inner", "left"):
-        raise ValueError("salted_join keeps the left side: use inner or left")
-    if not hot:
-        return left.join(right, on, how)
-    is_hot = F.coalesce(F.col(on).isin(*hot), F.lit(False))
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted = left.withColumn("_salt", salt).join(right.withColumn("_salt", F.explode(copies)), [on, "_salt"], how)
-    return salted.drop("_salt")
+        raise ValueError("weighted_join keeps the left side: use inner or left")
+    if how == "left" and right_heavy is not None:
+        raise ValueError("a left join can only split its left side")
+    sides, salts = [left, right], []
+    for n, heavy in enumerate((left_heavy, right_heavy)):
+        if heavy is None:
+            continue
+        salt = f"_salt{n}"
+        salts.append(salt)
+        known = F.broadcast(heavy.select(on, "_ways"))  # fewer than MOST_HEAVY rows
+        ways = F.coalesce("_ways", F.lit(1))
+        for m, side in enumerate(sides):
+            own = F.pmod(F.xxhash64(*side.columns), ways).cast("int")
+            copies = F.explode(F.sequence(F.lit(0), ways - 1))
+            sides[m] = side.join(known, on, "left").withColumn(salt, own if m == n else copies).drop("_ways")
+    return sides[0].join(sides[1], [on, *salts], how).drop(*salts)
+
+
+@dataclass(frozen=True)
+class CellProfile:
+    """Resolution range of a table, its distinct cells with their rows (``_n``), stored, and those that hold very many."""
+
+    lo: int
+    hi: int
+    cells: DataFrame = field(compare=False)
+    heavy: DataFrame | None = field(default=None, compare=False)
+
+
+def cell_profile(df: DataFrame, cell: str = "cell", hot_rows: int = ROWS_PER_TASK) -> CellProfile:
+    """One pass over the cell column alone, pre-aggregated per cell and stored, so that nothing later needs the table
+    again to learn about its cells."""
+    counts = key_counts(df.select(F.col(cell).alias("cell")), "cell")
+    lo, hi = counts.agg(F.min(C.resolution("cell")), F.max(C.resolution("cell"))).first()
+    if lo is None:
+        raise ValueError("the table has no cells")
+    return CellProfile(lo, hi, counts, heavy_keys(counts, "cell", hot_rows))

@@ -14,7 +14,7 @@ from hexmart.functions import grid as G
 from hexmart.functions.text import initcap_words
 from hexmart.operators import aggregates as A
 from hexmart.operators.hierjoin import link_cells
-from hexmart.operators.skew import CellProfile, cell_profile, salted_join
+from hexmart.operators.skew import CellProfile, cell_profile, heavy_keys, key_counts, weighted_join
 from hexmart.plans.spec import Attr
 from hexmart.session import materialize, spread
 
@@ -124,14 +124,20 @@ def _reduced(table: Table, dates: DataFrame | None, date_key: str, prefix: str)
 
 
 def context_join(
-    facts: DataFrame, links: DataFrame, around: DataFrame, cell: str, around_cell: str, profile: CellProfile
+    facts: DataFrame, links: DataFrame, around: DataFrame, cell: str, around_cell: str, profile: CellProfile, around_profile: CellProfile | None = None
 ) -> DataFrame:
     """facts LEFT JOIN links LEFT JOIN around: rows without context are kept.
 
-    Link and context meet first, as the links hold one row per pair of cells however hot a cell of the facts is.
+    Link and context meet first, as the links hold one row per pair of cells however hot a cell of the facts is.  A coarse
+    context cell may stand in very many links and hold very many rows; both are counted and spread by their own weight.
     """
-    nearby = links.join(around.withColumn("tar", F.col(around_cell)), "tar").drop("tar").withColumnRenamed("src", cell)
-    return salted_join(facts, nearby, cell, "left", profile.hot)
+    linked = heavy_keys(key_counts(links, "tar"), "tar")
+    if around_profile is None:
+        around_profile = cell_profile(around, around_cell)
+    held = None if around_profile.heavy is None else around_profile.heavy.withColumnRenamed("cell", "tar")
+    nearby = weighted_join(links, around.withColumn("tar", F.col(around_cell)), "tar", left_heavy=linked, right_heavy=held)
+    heavy = None if profile.heavy is None else profile.heavy.withColumnRenamed("cell", cell)
+    return weighted_join(facts, nearby.drop("tar").withColumnRenamed("src", cell), cell, "left", heavy)
 
 
 def build_facts(spec: MartSpec) -> tuple[DataFrame, list[str]]:
@@ -146,7 +152,7 @@ def build_facts(spec: MartSpec) -> tuple[DataFrame, list[str]]:
         around = _reduced(context, spec.dates, spec.date_key, prefix)
         around_profile = cell_profile(context.df, context.cell)
         links = link_cells(profile.cells, around_profile.cells, around_profile.lo, around_profile.hi, profile.lo, profile.hi)
-        facts = context_join(facts, links, around, "i_cell", f"{prefix}cell", profile)
+        facts = context_join(facts, materialize(links, "pairs"), around, "i_cell", f"{prefix}cell", profile, around_profile)
 
     # Rows behind a joined row: the product of the counts; an absent context counts once.
     counts = {"i_": F.col("i_n"), **{f"c{n}_": F.coalesce(f"c{n}_n", F.lit(1)) for n in range(len(contexts))}}

@@ -88,7 +88,7 @@ def dm_context_join(spark: SparkSession, sf: str) -> DataFrame:
     profile, land_profile = cell_profile(fires), cell_profile(land)
     links = link_cells(profile.cells, land_profile.cells, land_profile.lo, land_profile.hi, profile.lo, profile.hi)
     around = land.withColumnRenamed("cell", "c_cell")
-    return context_join(fires, links, around, "cell", "c_cell", profile).select("o_orderkey", "c_custkey", "l_class")
+    return context_join(fires, materialize(links, "pairs"), around, "cell", "c_cell", profile, land_profile).select("o_orderkey", "c_custkey", "l_class")
 
 
 @query("agg_sum_area_adaptive", f"""WITH {SQL_FACTS} SELECT {S.sql_hex('pos')} AS hex_id, objectid, annee, l_class, surface FROM t1""")
