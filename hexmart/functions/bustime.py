@@ -1,4 +1,4 @@
-"""Business-hours arithmetic: column functions, the hour calendar, and working time by two look-ups."""
+"""Business-hours arithmetic: column functions, working time in closed form, the hour calendar for calendars of one's own."""
 
 from __future__ import annotations
 
@@ -117,7 +117,8 @@ def open_hours_up_to(calendar: DataFrame) -> DataFrame:
 def with_working_minutes(df: DataFrame, calendar: DataFrame, start: str, end: str, out: str) -> DataFrame:
     """60 times the business hours strictly between the hours of two stamps.
 
-    Two equi joins on the running count take the place of a range join; the calendar must cover the stamps.
+    For calendars that no weekly rule describes, as with holidays; :func:`working_minutes` needs none.  Two equi joins on
+    the running count take the place of a range join; the calendar must cover the stamps.
     """
     counts = open_hours_up_to(calendar)
     first = F.date_trunc("hour", F.col(start)).cast("timestamp_ntz")
@@ -130,6 +131,77 @@ def with_working_minutes(df: DataFrame, calendar: DataFrame, start: str, end: st
     return joined.withColumn(out, minutes).drop("_f", "_t", "_from", "_to", "_n0", "_n1")
 
 
+def local_time(stamp: Column, zone: str) -> Column:
+    """Wall-clock time (timestamp_ntz) in ``zone`` of an instant, whatever the session's zone is.
+
+    It goes by the instant's microseconds, as a cast would go through the session's wall clock, where an hour is ambiguous once a year.
+    """
+    micros = F.unix_micros(stamp)
+    second = F.lit(1_000_000)
+    seconds, rest = F.call_function("div", micros - F.pmod(micros, second), second), F.pmod(micros, second)
+    day = F.call_function("div", seconds - F.pmod(seconds, F.lit(86_400)), F.lit(86_400))
+    start = F.date_add(F.lit(date(1970, 1, 1)), day.cast("int")).cast("timestamp_ntz")
+    within = F.pmod(seconds, F.lit(86_400)) + (rest / 1_000_000).cast("decimal(8,6)")
+    utc = start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), within)
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
+def hour_number(stamp: Column) -> Column:
+    """Hours since 1970-01-01 of the wall clock."""
+    return F.unix_date(F.to_date(stamp)).cast("long") * 24 + F.hour(stamp)
+
+
+# 1970-01-01 was a Thursday; weeks are counted from Sunday.
+WEEK, FIRST_HOUR_OF_WEEK = 168, 96
+
+
+def _eras(rules: tuple[OpeningRule, ...]) -> list[tuple[date | None, date | None, list[int]]]:
+    """Periods without a change of rules, with the open hours of their week as 168 zeros and ones."""
+    cuts = sorted({d for rule in rules for d in (rule.since, rule.before) if d})
+    out = []
+    for start, end in zip([None, *cuts], [*cuts, None]):
+        open_ = [0] * WEEK
+        for rule in rules:
+            begun = rule.since is None or (start is not None and rule.since <= start)
+            going = rule.before is None or (end is not None and end <= rule.before)
+            for day in rule.weekdays if begun and going else ():
+                for hour in range(rule.first_hour, rule.last_hour + 1):
+                    open_[day * 24 + hour] = 1
+        out.append((start, end, open_))
+    return out
+
+
+def open_hours_before(hour: Column, rules: tuple[OpeningRule, ...] = SUPPORT_HOURS) -> Column:
+    """Open hours before an hour number, up to a constant: whole weeks plus a look-up in the week's 168 running counts.
+
+    Each period without a change of rules counts the part of the past that lies in it.
+    """
+    days = lambda d: (d - date(1970, 1, 1)).days * 24
+    total = F.lit(0).cast("long")
+    for start, end, open_ in _eras(rules):
+        running = [sum(open_[:n]) for n in range(WEEK)]
+        at = hour
+        if start is not None:
+            at = F.greatest(at, F.lit(days(start)).cast("long"))
+        if end is not None:
+            at = F.least(at, F.lit(days(end)).cast("long"))
+        at = at + FIRST_HOUR_OF_WEEK
+        place = F.pmod(at, F.lit(WEEK))
+        weeks = F.call_function("div", at - place, F.lit(WEEK).cast("long"))
+        total = total + weeks * sum(open_) + F.get(F.array(*[F.lit(n) for n in running]), place.cast("int"))
+    return total
+
+
+def working_minutes(start: Column, end: Column, rules: tuple[OpeningRule, ...] = SUPPORT_HOURS) -> Column:
+    """60 times the open hours strictly between the hours of two wall-clock stamps; 0 if either is NULL or the end comes first.
+
+    The wall clock decides: an hour that daylight saving skips or repeats counts once, as it does in a calendar of hours.
+    """
+    hours = open_hours_before(hour_number(end), rules) - open_hours_before(hour_number(start) + 1, rules)
+    known = start.isNotNull() & end.isNotNull()  # greatest and least pass over NULL
+    return F.when(known, F.greatest(F.lit(0).cast("long"), hours) * 60).otherwise(F.lit(0).cast("long"))
+
+
 def business_minutes_by_calendar(start: Column, end: Column, working_minutes: Column) -> Column:
     """Minutes of open time: the working minutes between, plus what is left of the first and used of the last hour."""
     same_hour = F.date_trunc("hour", start) == F.date_trunc("hour", end)
@@ -137,13 +209,18 @@ def business_minutes_by_calendar(start: Column, end: Column, working_minutes: Co
     return F.coalesce(F.when(same_hour, minutes_between(start, end)).otherwise(spread), F.lit(0)).cast("long")
 
 
-def ticket_measures(tickets: DataFrame, calendar: DataFrame, start: str, end: str) -> DataFrame:
-    """All measures of both attempts beside the ticket columns."""
-    s, e = F.col(start), F.col(end)
-    out = (
-        tickets.withColumn("weekdays_to_first_response", weekdays_between(s, e))
-        .withColumn("non_working_hours", non_business_hours_between(s, e))
-        .withColumn("business_minutes__1", business_minutes_simple(s, e))
-    )
-    out = with_working_minutes(out, calendar, start, end, "working_min_subquery")
+def ticket_measures(
+    tickets: DataFrame, start: str, end: str, rules: tuple[OpeningRule, ...] = SUPPORT_HOURS, zone: str | None = None
+) -> DataFrame:
+    """All measures of both attempts beside the ticket columns, without a join.
+
+    Stamps are wall-clock times (timestamp_ntz); with ``zone`` they are instants, measured by the wall clock of that zone.
+    """
+    s, e = (F.col(c) if zone is None else local_time(F.col(c), zone) for c in (start, end))
+    out = tickets.withColumns({
+        "weekdays_to_first_response": weekdays_between(s, e),
+        "non_working_hours": non_business_hours_between(s, e),
+        "business_minutes__1": business_minutes_simple(s, e),
+        "working_min_subquery": working_minutes(s, e, rules),
+    })
     return out.withColumn("business_minutes__2", business_minutes_by_calendar(s, e, F.col("working_min_subquery")))

@@ -1,5 +1,6 @@
 import random
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
@@ -30,16 +31,16 @@ def stamps(spark, rows):
     return spark.createDataFrame(rows, "id string, s timestamp_ntz, e timestamp_ntz")
 
 
-def test_sample_tickets(spark, calendar):
+def test_sample_tickets(spark):
     lines = [line.split() for line in TICKETS.strip().splitlines()]
     rows = [(i, datetime.fromisoformat(s), datetime.fromisoformat(e)) for i, s, e, *_ in lines]
-    got = {r[0]: tuple(r)[3:] for r in B.ticket_measures(stamps(spark, rows), calendar, "s", "e").collect()}
+    got = {r[0]: tuple(r)[3:] for r in B.ticket_measures(stamps(spark, rows), "s", "e").collect()}
     assert got == {line[0]: tuple(map(int, line[3:])) for line in lines}
 
 
-def test_worked_example(spark, calendar):
+def test_worked_example(spark):
     df = stamps(spark, [("14025", datetime(2021, 7, 9, 11, 29), datetime(2021, 7, 12, 14, 46)), ("open", datetime(2021, 7, 9, 11, 29), None)])
-    rows = B.ticket_measures(df, calendar, "s", "e").orderBy("id").collect()
+    rows = B.ticket_measures(df, "s", "e").orderBy("id").collect()
     assert (rows[0].working_min_subquery, rows[0].business_minutes__2) == (840, 917)
     assert (rows[1].non_working_hours, rows[1].working_min_subquery, rows[1].business_minutes__2, rows[1].business_minutes__1) == (0, 0, 0, None)
 
@@ -75,6 +76,39 @@ def test_working_minutes_equal_the_range_count(spark, calendar):
     slow = df.join(hours, (F.col("date_hour") > F.date_trunc("hour", "s")) & (F.col("date_hour") < F.date_trunc("hour", "e")), "left")
     slow = slow.groupBy("id").agg((F.count("date_hour") * 60).alias("w"))
     assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+    closed = df.select("id", B.working_minutes(F.col("s"), F.col("e")).alias("w"))
+    assert closed.exceptAll(slow).count() == 0 and slow.exceptAll(closed).count() == 0
+    assert "Join" not in closed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_closed_form_hour_by_hour(spark):
+    """Differences of the running count are the calendar itself, over all changes of the rules and before 1970."""
+    for first, last in ((datetime(1969, 12, 20), datetime(1970, 1, 10)), (datetime(2021, 8, 25), datetime(2021, 9, 25))):
+        hours = [first + timedelta(hours=n) for n in range(int((last - first).total_seconds() // 3600))]
+        df = spark.createDataFrame([(h,) for h in hours], "h timestamp_ntz")
+        n = B.hour_number(F.col("h"))
+        rows = df.select("h", (B.open_hours_before(n + 1) - B.open_hours_before(n)).alias("n")).collect()
+        assert {r.h: r.n for r in rows} == {h: int(is_open(h)) for h in hours}
+
+
+def test_zone_of_the_rules_not_of_the_session(spark):
+    """Tickets across both clock changes, in sessions of three zones: hours are those of the shop's wall clock."""
+    paris = ZoneInfo("Europe/Paris")
+    wall = [(datetime(2021, 3, 26, 18, 40), datetime(2021, 3, 29, 9, 5)), (datetime(2021, 10, 29, 18, 40), datetime(2021, 11, 1, 9, 5)),
+            (datetime(2021, 10, 31, 2, 30, fold=1), datetime(2021, 11, 1, 0, 10)), (datetime(1969, 12, 31, 23, 59, 59, 250_000), datetime(1970, 1, 2, 12, 0))]
+    seconds = [[(t.replace(tzinfo=paris) - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1) for t in pair] for pair in wall]
+    rows = [(n, *pair) for n, pair in enumerate(seconds)]
+    naive = spark.createDataFrame([(str(n), a.replace(fold=0), b) for n, (a, b) in enumerate(wall)], "id string, s timestamp_ntz, e timestamp_ntz")
+    want = [tuple(r)[3:] for r in B.ticket_measures(naive, "s", "e").orderBy("id").collect()]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/New_York", "Europe/Paris", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame(rows, "id int, a bigint, b bigint").select("id", F.timestamp_micros("a").alias("s"), F.timestamp_micros("b").alias("e"))
+            got = B.ticket_measures(df, "s", "e", zone="Europe/Paris").orderBy("id").collect()
+            assert [tuple(r)[3:] for r in got] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_boundaries_not_elapsed_time(spark):
