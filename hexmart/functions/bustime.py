@@ -174,22 +174,31 @@ def _eras(rules: tuple[OpeningRule, ...]) -> list[tuple[date | None, date | None
 def open_hours_before(hour: Column, rules: tuple[OpeningRule, ...] = SUPPORT_HOURS) -> Column:
     """Open hours before an hour number, up to a constant: whole weeks plus a look-up in the week's 168 running counts.
 
-    Each period without a change of rules counts the part of the past that lies in it.
+    The hour's period picks the week, the counts and an offset that makes the total run on where the rules change.
     """
-    days = lambda d: (d - date(1970, 1, 1)).days * 24
-    total = F.lit(0).cast("long")
-    for start, end, open_ in _eras(rules):
-        running = [sum(open_[:n]) for n in range(WEEK)]
-        at = hour
+    cuts, weekly, running, offsets = [], [], [], []
+    for start, _, open_ in _eras(rules):
+        counts = [sum(open_[:n]) for n in range(WEEK)]
+        offset = 0
         if start is not None:
-            at = F.greatest(at, F.lit(days(start)).cast("long"))
-        if end is not None:
-            at = F.least(at, F.lit(days(end)).cast("long"))
-        at = at + FIRST_HOUR_OF_WEEK
-        place = F.pmod(at, F.lit(WEEK))
-        weeks = F.call_function("div", at - place, F.lit(WEEK).cast("long"))
-        total = total + weeks * sum(open_) + F.get(F.array(*[F.lit(n) for n in running]), place.cast("int"))
-    return total
+            cut = (start - date(1970, 1, 1)).days * 24
+            weeks, place = divmod(cut + FIRST_HOUR_OF_WEEK, WEEK)
+            before = offsets[-1] + weeks * weekly[-1] + running[-WEEK + place]
+            offset = before - weeks * sum(open_) - counts[place]
+            cuts.append(cut)
+        weekly.append(sum(open_))
+        running += counts
+        offsets.append(offset)
+
+    def look_up(values: list[int], n: Column) -> Column:
+        return F.get(F.array(*[F.lit(v).cast("long") for v in values]), n)
+
+    period = F.lit(0)
+    for cut in cuts:
+        period = period + (hour >= cut).cast("int")
+    place = F.pmod(hour + FIRST_HOUR_OF_WEEK, F.lit(WEEK)).cast("int")
+    weeks = F.call_function("div", hour + FIRST_HOUR_OF_WEEK - place, F.lit(WEEK).cast("long"))
+    return weeks * look_up(weekly, period) + look_up(running, period * WEEK + place) + look_up(offsets, period)
 
 
 def working_minutes(start: Column, end: Column, rules: tuple[OpeningRule, ...] = SUPPORT_HOURS) -> Column:
@@ -198,8 +207,7 @@ def working_minutes(start: Column, end: Column, rules: tuple[OpeningRule, ...] =
     The wall clock decides: an hour that daylight saving skips or repeats counts once, as it does in a calendar of hours.
     """
     hours = open_hours_before(hour_number(end), rules) - open_hours_before(hour_number(start) + 1, rules)
-    known = start.isNotNull() & end.isNotNull()  # greatest and least pass over NULL
-    return F.when(known, F.greatest(F.lit(0).cast("long"), hours) * 60).otherwise(F.lit(0).cast("long"))
+    return F.greatest(F.lit(0).cast("long"), hours) * 60  # passes over NULL
 
 
 def business_minutes_by_calendar(start: Column, end: Column, working_minutes: Column) -> Column:

@@ -7,8 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hexmart.session import materialize
-from hexmart.sources.sinks import cluster_by_cell
+from hexmart.sources.stored import StoredTable
 
 
 def merge(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -33,22 +32,9 @@ def write_partitions(batch: DataFrame, path: str, partition: str) -> None:
 
 
 def merge_partitions(path: str, batch: DataFrame, keys: list[str], partition: str, cluster: list[str] | None = None) -> None:
-    """Merge on ``keys`` into a stored table, rewriting only the partitions that the batch touches.
-
-    The partition must follow from the keys; a batch that holds a key twice is refused.  The batch is stored first, and its
-    partition values, which are few, prune the scan of the target as literals.  The merged rows are stored before any
-    file of the target is replaced.
-    """
-    spark = batch.sparkSession
-    batch = materialize(batch, "merge-batch")
-    if not batch.groupBy(*keys).count().filter("count > 1").isEmpty():
-        raise ValueError("the batch holds a key more than once")
-    touched = [row[0] for row in batch.select(partition).distinct().collect()]
-    old = spark.read.schema(batch.schema).parquet(path).filter(F.col(partition).isin(touched))
-    merged = materialize(merge(old, batch, keys), "merge-rows")
-    if cluster:
-        merged = cluster_by_cell(merged, *cluster)
-    write_partitions(merged, path, partition)
+    """Merge on ``keys`` into a stored table, rewriting only the partitions that the batch touches; see :class:`StoredTable`."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema.fields)
+    StoredTable(batch.sparkSession, path, partition, schema).merge(batch, keys, cluster)
 
 
 def last_partitions(as_of: date, n: int) -> list[date]:
@@ -63,7 +49,7 @@ def day_window(ts: str, as_of: date, days: int) -> Column:
 
 
 def batch_window(ts: str, as_of: date, first_run: bool, old: int = 3, new: int = 1) -> Column:
-    """A first run takes ``old`` days, later ones ``new`` days."""
+    """A first run takes ``old`` days, later ones ``new`` days; :meth:`StoredTable.due` decides by what the target holds."""
     return day_window(ts, as_of, old if first_run else new)
 
 

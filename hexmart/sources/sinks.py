@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from hexmart.session import fresh_path
+
 SRID = 3163
 
 
@@ -56,21 +58,30 @@ def _read_progress(spark: SparkSession, path: str) -> set[int]:
 
 
 def blocked_load(
-    df: DataFrame, path: str, progress_path: str, blocks: int, cell: str = "cell", start: int = 1, at_once: int = 10
+    df: DataFrame, path: str, progress_path: str, blocks: int, cell: str = "cell", start: int = 1, at_once: int | None = None
 ) -> DataFrame:
-    """Load ``df`` in ``blocks`` blocks, ``at_once`` per write, skipping those already logged; returns the log.
+    """Load ``df`` in ``blocks`` blocks, skipping those already logged; returns the log.
 
-    A block is a share of the cells.  Each write replaces just its blocks, so running a block again after a failure
-    leaves no duplicates; its log line (block, objects, seconds) is written after its data.  ``df`` is read once per
-    write: pass a stored table.
+    A block is a share of the cells.  All blocks that are due are written at once, or ``at_once`` per write, so that a stop costs
+    that many; either way ``df`` is read once, as several writes take their blocks from one staged copy that is laid out by block.
+    Each write replaces just its blocks, so running a block again after a failure leaves no duplicates; its log line
+    (block, objects, seconds) is written after its data, with the rows that its files hold.
     """
     spark = df.sparkSession
     done = _read_progress(spark, progress_path)
     todo = [b for b in range(start, blocks + 1) if b not in done]
-    numbered = df.withColumn("block", (F.pmod(F.xxhash64(cell), F.lit(blocks)) + 1).cast("int"))
+    if not todo:
+        return spark.read.parquet(progress_path)
+    block = (F.pmod(F.xxhash64(cell), F.lit(blocks)) + 1).cast("int")
+    numbered = df.withColumn("block", block).filter(F.col("block").isin(todo))
+    at_once = at_once or len(todo)
+    if at_once < len(todo):
+        staged = fresh_path(spark, "blocks")
+        cluster_by_cell(numbered, "block", cell).write.partitionBy("block").parquet(staged)
+        numbered = spark.read.schema(numbered.schema).parquet(staged)
     for i in range(0, len(todo), at_once):
         batch, began = todo[i : i + at_once], time.time()
-        writer = numbered.filter(F.col("block").isin(batch)).write.mode("overwrite")
+        writer = cluster_by_cell(numbered.filter(F.col("block").isin(batch)), "block", cell).write.mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy("block").parquet(path)
         seconds = (time.time() - began) / len(batch)
         listed = spark.createDataFrame([(b,) for b in batch], "block int")

@@ -551,6 +551,12 @@ def _calendar(spark: SparkSession, tickets: DataFrame) -> DataFrame:
 
 @query("working_minutes", f"WITH {SQL_TICKETS}, {SQL_CALENDAR}, {SQL_WORKING} SELECT {_KEYS}, working FROM measured")
 def working_minutes(spark: SparkSession, sf: str) -> DataFrame:
+    return _tickets(spark, sf).withColumn("working", B.working_minutes(F.col("s"), F.col("e")))
+
+
+@query("working_minutes_by_calendar", f"WITH {SQL_TICKETS}, {SQL_CALENDAR}, {SQL_WORKING} SELECT {_KEYS}, working FROM measured")
+def working_minutes_by_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by joins with a calendar, for calendars of one's own."""
     tickets = _tickets(spark, sf)
     return B.with_working_minutes(tickets, _calendar(spark, tickets), "s", "e", "working")
 
@@ -565,8 +571,7 @@ def business_minutes_2(spark: SparkSession, sf: str) -> DataFrame:
 @query("fct_support_tickets", f"""WITH {SQL_TICKETS}, {SQL_CALENDAR}, {SQL_WORKING} SELECT {_KEYS}, CAST({SQL_WEEKDAYS} AS BIGINT) AS weekdays_to_first_response,
 {SQL_CLOSED} AS non_working_hours, {SQL_SIMPLE} AS business_minutes__1, working AS working_min_subquery, {SQL_MINUTES_2} AS business_minutes__2 FROM measured""")
 def fct_support_tickets(spark: SparkSession, sf: str) -> DataFrame:
-    tickets = _tickets(spark, sf)
-    out = B.ticket_measures(tickets, _calendar(spark, tickets), "s", "e")
+    out = B.ticket_measures(_tickets(spark, sf), "s", "e")
     return out.withColumn("weekdays_to_first_response", F.col("weekdays_to_first_response").cast("bigint"))
 
 
