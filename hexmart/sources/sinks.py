@@ -77,11 +77,11 @@ def blocked_load(
     at_once = at_once or len(todo)
     if at_once < len(todo):
         staged = fresh_path(spark, "blocks")
-        cluster_by_cell(numbered, "block", cell).write.partitionBy("block").parquet(staged)
+        numbered.hint("rebalance", "block").write.partitionBy("block").parquet(staged)
         numbered = spark.read.schema(numbered.schema).parquet(staged)
     for i in range(0, len(todo), at_once):
         batch, began = todo[i : i + at_once], time.time()
-        writer = cluster_by_cell(numbered.filter(F.col("block").isin(batch)), "block", cell).write.mode("overwrite")
+        writer = numbered.filter(F.col("block").isin(batch)).hint("rebalance", "block").write.mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy("block").parquet(path)
         seconds = (time.time() - began) / len(batch)
         listed = spark.createDataFrame([(b,) for b in batch], "block int")

@@ -19,6 +19,7 @@ from hexmart.session import fresh_path, materialize
 from hexmart.sources import incremental as I
 from hexmart.sources import sinks
 from hexmart.sources.catalog import Catalog, Source, freshness, read_csv
+from hexmart.sources.stored import StoredTable
 from hexmart.streaming import streams as ST
 from workload import standins as S
 from workload.registry import query, table
@@ -242,14 +243,77 @@ def inc_delete_insert(spark: SparkSession, sf: str) -> DataFrame:
 @query("inc_bootstrap", """SELECT 'first' AS run, event_id FROM events WHERE ts >= TIMESTAMP '2024-01-17' AND ts < TIMESTAMP '2024-01-20'
 UNION ALL SELECT 'later', event_id FROM events WHERE ts >= TIMESTAMP '2024-01-19' AND ts < TIMESTAMP '2024-01-20'""")
 def inc_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
+    """What a load would take before and after its target exists; the target's listing decides."""
     events = table(spark, sf, "events")
-    runs = [
-        events.filter(I.batch_window("ts", date(2024, 1, 20), first)).select(F.lit(run).alias("run"), "event_id")
-        for run, first in (("first", True), ("later", False))
-    ]
+    target = StoredTable(spark, fresh_path(spark, "bootstrap"), "day", "event_id bigint, day date")
+    runs = []
+    for run in ("first", "later"):
+        due = events.filter(target.due("ts", date(2024, 1, 20), old=3, new=0))
+        runs.append(due.select(F.lit(run).alias("run"), "event_id"))
+        if run == "first":
+            target.overwrite_dynamic(due.select("event_id", F.to_date("ts").alias("day")))
     return runs[0].unionByName(runs[1])
 
 
+DAILY_SCHEMA = "id string, date_day date, lang string, title string, subject string, views bigint"
+
+
+def _stored_daily(spark: SparkSession, sf: str, tag: str) -> StoredTable:
+    """Forty days of daily views up to 2024-01-20, a folder per day."""
+    target = StoredTable(spark, fresh_path(spark, tag), "date_day", DAILY_SCHEMA)
+    target.overwrite_dynamic(P.daily(_tagged(spark, sf, date(2024, 1, 20), 40)))
+    return target
+
+
+@query("inc_overwrite_static_stored", f"""WITH {SQL_VIEWS}, old AS (SELECT * FROM {SQL_OLD_DAILY}), fresh AS (SELECT * REPLACE (views + 1 AS views) FROM {_sql_daily('2024-01-25', 8)} WHERE date_day <> DATE '2024-01-18')
+SELECT * FROM old WHERE date_day NOT BETWEEN DATE '2024-01-16' AND DATE '2024-01-21'
+UNION ALL SELECT * FROM fresh WHERE date_day BETWEEN DATE '2024-01-16' AND DATE '2024-01-21'""")
+def inc_overwrite_static_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """On a stored table; the batch has no row of one of the listed days, whose old rows go."""
+    target = _stored_daily(spark, sf, "static")
+    fresh = _corrected(P.daily(_tagged(spark, sf, date(2024, 1, 25), 8)), "views").filter("date_day <> date'2024-01-18'")
+    target.overwrite_static(fresh, I.last_partitions(date(2024, 1, 22), 6))
+    return target.read()
+
+
+@query("inc_overwrite_newest", f"""WITH {SQL_VIEWS}, old AS (SELECT * FROM {SQL_OLD_DAILY}), fresh AS (SELECT * REPLACE (views + 1 AS views) FROM {_sql_daily('2024-01-25', 99)}
+  WHERE date_day >= (SELECT max(date_day) FROM old) - INTERVAL 1 DAY)
+SELECT * FROM old WHERE date_day NOT IN (SELECT date_day FROM fresh) UNION ALL SELECT * FROM fresh""")
+def inc_overwrite_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """The window starts from the newest stored day, so a target that fell behind by five days catches up."""
+    target = _stored_daily(spark, sf, "newest")
+    first, last = target.window(date(2024, 1, 25), old=40, new=1)
+    target.overwrite_dynamic(_corrected(P.daily(_tagged(spark, sf, last, (last - first).days)), "views"))
+    return target.read()
+
+
+@query("inc_merge_null_day", """WITH old AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) END AS day, value FROM events)
+SELECT event_id, day, CASE WHEN event_id % 10 = 0 AND (day IS NULL OR day = DATE '2024-01-17') THEN value + 1 ELSE value END AS value FROM old""")
+def inc_merge_null_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without a day lie in a partition of their own; a merge that touches it keeps its other rows."""
+    day = F.when(F.col("event_type") != "error", F.to_date("ts"))
+    rows = table(spark, sf, "events").select("event_id", day.alias("day"), "value")
+    target = StoredTable(spark, fresh_path(spark, "null-day"), "day", "event_id bigint, day date, value double")
+    target.overwrite_dynamic(rows)
+    batch = rows.filter("event_id % 10 = 0 and (day is null or day = date'2024-01-17')").withColumn("value", F.col("value") + 1)
+    target.merge(batch, ["event_id"])
+    return target.read()
+
+
+@query("inc_delete_insert_stored", """WITH r AS (SELECT l_orderkey, l_linenumber, l_quantity, CAST(date_trunc('month', l_shipdate) AS DATE) AS month FROM lineitem),
+hit AS (SELECT DISTINCT l_orderkey FROM r WHERE month = DATE '1995-06-01' AND l_quantity > 40)
+SELECT * FROM r WHERE l_orderkey NOT IN (SELECT l_orderkey FROM hit) UNION ALL SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM r WHERE month = DATE '1995-06-01' AND l_quantity > 40""")
+def inc_delete_insert_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The keys of one month's rows go from every month that holds them; months without them keep their files."""
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.to_date(F.trunc("l_shipdate", "month")).alias("month"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    target = StoredTable(spark, fresh_path(spark, "delete-insert"), "month", schema)
+    target.overwrite_dynamic(rows.hint("rebalance", "month"))
+    batch = rows.filter("month = date'1995-06-01' and l_quantity > 40").withColumn("l_quantity", F.col("l_quantity") + 1)
+    target.delete_insert(batch, "l_orderkey")
+    return target.read()
+
+
 @query("inc_high_water", "SELECT event_id, ts FROM events WHERE ts >= (SELECT max(ts) FROM events WHERE event_type = 'error' AND value > 100)")
 def inc_high_water(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
