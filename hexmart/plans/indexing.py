@@ -12,6 +12,7 @@ from hexmart.functions import grid as G
 from hexmart.operators.rings import Rejects, cut, descend
 from hexmart.operators.rowid import dense_row_id
 from hexmart.session import materialize, spread
+from hexmart.sources.sinks import cluster_by_cell
 
 # Slack for sums of areas: two roundings of the same area may differ by this share of a cell.
 SLACK = 1e-9
@@ -252,3 +253,25 @@ def in_box(df: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float, ge
     all_edges = F.flatten(F.transform(rings, edges))
     inside = F.size(F.filter(all_edges, turns)) % 2 == 1
     return df.filter(near).filter(F.exists(all_edges, meets) | inside)
+
+
+EXTENT = ("xmin", "ymin", "xmax", "ymax")
+
+
+def store_layer(df: DataFrame, path: str, level: int = 6, geometry: str = "geometry") -> None:
+    """Write a polygon layer with the extent of each polygon beside it, laid out by the cell of its middle.
+
+    Neighbours lie together, so the extents of a file's rows span a small area and a box skips files by their statistics.
+    """
+    points = F.flatten(F.flatten(geometry))
+    xs, ys = F.transform(points, lambda p: p.x), F.transform(points, lambda p: p.y)
+    bounds = {"xmin": F.array_min(xs), "ymin": F.array_min(ys), "xmax": F.array_max(xs), "ymax": F.array_max(ys)}
+    middle = G.cell_at((F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2, level)
+    placed = df.withColumns(bounds).withColumn("_place", F.coalesce(middle, F.lit(0)))
+    cluster_by_cell(placed, "_place").drop("_place").write.parquet(path)
+
+
+def layer_in_box(layer: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float, geometry: str = "geometry") -> DataFrame:
+    """Rows of a stored layer whose polygons meet a box; the extents are compared in the scan."""
+    near = (F.col("xmin") <= xmax) & (F.col("xmax") >= xmin) & (F.col("ymin") <= ymax) & (F.col("ymax") >= ymin)
+    return in_box(layer.filter(near), xmin, ymin, xmax, ymax, geometry).drop(*EXTENT)

@@ -46,8 +46,9 @@ def cluster_by_cell(df: DataFrame, cell: str = "cell", *more: str) -> DataFrame:
 
     The remaining columns break ties, so that one very frequent cell fills several files instead of one.
     """
-    spread = F.xxhash64(*[c for c in df.columns if c != cell])
-    return df.repartitionByRange(F.col(cell), *[F.col(c) for c in more], spread).sortWithinPartitions(cell, *more)
+    others = [c for c in df.columns if c != cell]
+    ties = [F.xxhash64(*others)] if others else []
+    return df.repartitionByRange(F.col(cell), *[F.col(c) for c in more], *ties).sortWithinPartitions(cell, *more)
 
 
 def _read_progress(spark: SparkSession, path: str) -> set[int]:

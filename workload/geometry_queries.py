@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexmart.functions import cells as C
+from hexmart.functions.boxes import Box, cells_in_box
 from hexmart.functions import grid as G
 from hexmart.functions import projection as PR
 from hexmart.operators.rings import EDGE_MARGIN
 from hexmart.plans import indexing as X
+from hexmart.session import fresh_path
+from hexmart.sources.sinks import cluster_by_cell
 from workload import standins as S
 from workload.registry import query, table
 
@@ -332,3 +335,34 @@ def reproject_points(spark: SparkSession, sf: str) -> DataFrame:
 @query("bbox_filter", f"WITH {SQL_PLOTS} SELECT p_partkey FROM plots WHERE x0 <= -1100000 AND x1 >= -1480000 AND y0 <= 500000 AND y1 >= -1499000")
 def bbox_filter(spark: SparkSession, sf: str) -> DataFrame:
     return X.in_box(layer(spark, sf), -1_480_000, -1_499_000, -1_100_000, 500_000).select("p_partkey")
+
+
+@query("bbox_layer_stored", f"WITH {SQL_PLOTS} SELECT p_partkey FROM plots WHERE x0 <= -1100000 AND x1 >= -1480000 AND y0 <= 500000 AND y1 >= -1499000")
+def bbox_layer_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """From a stored layer, by the extents in its files."""
+    path = fresh_path(spark, "layer")
+    X.store_layer(layer(spark, sf), path)
+    return X.layer_in_box(spark.read.parquet(path), -1_480_000, -1_499_000, -1_100_000, 500_000).select("p_partkey")
+
+
+BOX = Box(-1_480_000, -1_499_000, -1_100_000, 500_000)
+
+
+def _sql_meets(r: int, box: Box) -> str:
+    """Centres (cx, cy) of cells of level ``r`` whose hexagon meets a box, axis by axis."""
+    dx, dy = f"(cx - {_f((box.xmin + box.xmax) / 2)})", f"(cy - {_f((box.ymin + box.ymax) / 2)})"
+    w, h, s = (box.xmax - box.xmin) / 2, (box.ymax - box.ymin) / 2, G.spacing(r)
+    tests = [f"abs({dx}) <= {_f(w + s / 2)}", f"abs({dy}) <= {_f(h + s / math.sqrt(3))}"]
+    for k in (1, 2):
+        nx, ny = math.cos(k * math.pi / 3), math.sin(k * math.pi / 3)
+        tests.append(f"abs({dx} * {_f(nx)} + {dy} * {_f(ny)}) <= {_f(s / 2 + abs(nx) * w + abs(ny) * h)}")
+    return " AND ".join(tests)
+
+
+@query("cells_in_box", f"""WITH {SQL_PLOTS}, {sql_near(MID, 2 * _MARGIN)}, hit AS (SELECT DISTINCT i, j FROM near
+WHERE sqrt(greatest(x0 - cx, cx - x1, 0) ** 2 + greatest(y0 - cy, cy - y1, 0) ** 2) <= {_f(_MARGIN)} AND {_sql_meets(MID, BOX)}), {sql_ids(MID, 'hit')} SELECT hex_id FROM ids""")
+def q_cells_in_box(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of a stored mesh that meet a box: id ranges prune the scan, an exact test follows."""
+    path = fresh_path(spark, "mesh")
+    cluster_by_cell(X.mesh(layer(spark, sf), MID)).write.parquet(path)
+    return _hex(cells_in_box(spark.read.parquet(path), BOX, MID, MID))
