@@ -85,3 +85,16 @@ def link_cells(
     chains = _ancestors(offers, F.col("from_lvl"), C.resolution("cell") - 1)
     down_pairs = _meet_ancestors(chains, rest, src_res_min, res_max).select(F.col("anc").alias("src"), F.col("cell").alias("tar"))
     return up_pairs.unionByName(down_pairs)
+
+
+def children_among(df: DataFrame, cells: DataFrame, cell: str, r: int, lo: int, hi: int, out: str) -> DataFrame:
+    """Rows of ``df`` once per cell of level ``r`` in ``cells`` (distinct, column ``cell``) below theirs or equal to it, as ``out``.
+
+    The descendants of a cell share its prefix, so a listed cell meets the rows above it by an equi join on its ancestors at
+    the levels ``lo`` to ``hi`` that ``df`` has.  The work follows the listed cells and the pairs, however coarse a row is.
+    """
+    chains = _ancestors(cells.select("cell"), F.lit(lo), F.lit(min(hi, r)))
+    distinct = materialize(df.select(F.col(cell).alias("cell")).filter(C.resolution("cell") <= r).distinct(), "coarse")
+    pairs = materialize(_meet_ancestors(chains, distinct, lo, r).select(F.col("anc").alias("_above"), F.col("cell").alias(out)), "children")
+    weights = [heavy_keys(key_counts(df.select(F.col(cell).alias("_above")), "_above"), "_above"), heavy_keys(key_counts(pairs, "_above"), "_above")]
+    return weighted_join(df.withColumn("_above", F.col(cell)), pairs, "_above", "inner", *weights).drop("_above")

@@ -13,10 +13,13 @@ from hexmart.functions import cells as C
 from hexmart.functions import grid as G
 from hexmart.functions.text import initcap_words
 from hexmart.operators import aggregates as A
-from hexmart.operators.hierjoin import link_cells
+from hexmart.operators.hierjoin import children_among, link_cells
+from hexmart.operators.quality import key_and_srid
+from hexmart.operators.rowid import dense_row_id
 from hexmart.operators.skew import CellProfile, cell_profile, heavy_keys, key_counts, weighted_join
 from hexmart.plans.spec import Attr
 from hexmart.session import materialize, spread
+from hexmart.sources.sinks import SRID, cluster_by_cell
 
 
 @dataclass
@@ -50,6 +53,8 @@ class MartSpec:
     date_key: str = "date_id"
     geometry: Callable[[Column], Column] = G.boundary
     max_json_items: int | None = None
+    set_index: bool = False
+    set_esri: bool = False
 
     def one(self, status: str) -> Table:
         return next(t for t in self.tables if t.status == status)
@@ -222,20 +227,57 @@ def build_datamart(spec: MartSpec) -> DataFrame:
         mart = facts
 
     dimension_columns = []
-    for n, table in enumerate(spec.all("dimension")):
+    dimensions = spec.all("dimension")
+    if any(resolution_range(t.df, t.cell)[0] < spec.res for t in dimensions):
+        mart = materialize(mart, "mart")
+        cells = mart.select(F.col("_cell").alias("cell")).distinct()
+    for n, table in enumerate(dimensions):
         lo, hi = resolution_range(table.df, table.cell)
-        side = C.normalize(table.df, table.cell, spec.res, f"_dim{n}", lo, hi)
-        side = with_dates(side, table.attrs(), spec.dates, spec.date_key, "inner")
+        side = with_dates(table.df, table.attrs(), spec.dates, spec.date_key, "inner")
         wanted = [F.col(a.column or a.alias).alias(a.alias) for a in table.attrs() if not _is_geometry(a)]
         dimension_columns += [a.alias for a in table.attrs() if not _is_geometry(a)]
-        mart = mart.join(side.select(f"_dim{n}", *wanted), F.col("_cell") == F.col(f"_dim{n}")).drop(f"_dim{n}")
+        # Cells of the mart meet the coarse cells above them; a dimension is never expanded to all it covers.
+        placed = f"_dim{n}"
+        fine = side.filter(C.resolution(table.cell) >= spec.res).withColumn(placed, C.parent(table.cell, spec.res))
+        parts = [fine.select(placed, *wanted)] if hi >= spec.res else []
+        if lo < spec.res:
+            coarse = side.filter(C.resolution(table.cell) < spec.res)
+            parts.append(children_among(coarse, cells, table.cell, spec.res, lo, min(hi, spec.res - 1), placed).select(placed, *wanted))
+        side = reduce(DataFrame.unionByName, parts)
+        mart = mart.join(side, F.col("_cell") == F.col(placed)).drop(placed)
 
     # The cell decides the geometry, so it is drawn once per result row and never grouped by or shuffled.
     drawn = any(_is_geometry(a) for t in spec.tables for a in t.attrs())
     body = [c for c in mart.columns if c != "_cell" and c not in dimension_columns]
-    return mart.select(
+    out = mart.select(
         C.to_hex("_cell").alias("hex_id"),
         *body,
         *([spec.geometry(F.col("_cell")).alias("geometry")] if drawn else []),
         *dimension_columns,
     )
+    order = [a.alias for t in spec.tables for a in t.attrs() if a.order and a.alias in out.columns]
+    if spec.set_esri:
+        plain = [c for c in out.columns if c not in (*order, "geometry")]
+        out = dense_row_id(out, [*order, *plain], "id_esri")
+    return out.orderBy(*[F.col(c).asc_nulls_last() for c in order]) if order else out
+
+
+def write_datamart(spec: MartSpec, path: str) -> DataFrame:
+    """Store the mart and return it as stored.
+
+    ``set_index`` lays it out by ``hex_id``, so that look-ups by cell skip files; ``set_esri`` numbers the rows (``id_esri``), stores the SRID
+    beside the geometry, and refuses a table whose numbers or SRID a map server would refuse.  Attributes marked ``?`` order the
+    rows inside the files if there is no index.
+    """
+    mart = build_datamart(spec)
+    if spec.set_esri:
+        mart = mart.withColumn("srid", F.lit(SRID))
+    if spec.set_index:
+        mart = cluster_by_cell(mart, "hex_id")
+    mart.write.parquet(path)
+    stored = mart.sparkSession.read.schema(mart.schema).parquet(path)
+    if spec.set_esri:
+        bad = key_and_srid(stored, "id_esri", "srid", SRID).first()
+        if any(bad):
+            raise ValueError(f"the mart breaks its constraints: {bad.asDict()}")
+    return stored

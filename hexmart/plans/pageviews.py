@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexmart.functions.text import language, surrogate_key
@@ -12,19 +12,20 @@ from hexmart.operators.lookup import union_relations
 from hexmart.sources.incremental import day_window
 
 
-def pages_of_interest(relations: dict[str, DataFrame]) -> DataFrame:
-    """All pages, each with the subject of its relation: the English title, lower case, '-' as '_'."""
-    unioned = union_relations(relations)
+def subject_by_source(unioned: DataFrame) -> DataFrame:
+    """Each page with the subject of its relation: the largest English title, lower case, '-' as '_'.
+
+    An aggregate of a row per relation joined back by broadcast, in place of a window, which would gather a relation in one task.
+    """
     english = F.when(F.col("lang") == "en", F.lower(F.replace(F.col("title"), F.lit("-"), F.lit("_"))))
-    # One value per relation, of which there are as many as arguments: an aggregate joined back, no window by relation.
-    subjects = unioned.groupBy("_source_relation").agg(F.max(english).alias("subject"))
-    return unioned.join(subjects, "_source_relation")
+    subjects = unioned.groupBy(F.col("_source_relation").alias("_source")).agg(F.max(english).alias("subject"))
+    found = unioned.join(F.broadcast(subjects), F.col("_source_relation").eqNullSafe(F.col("_source")), "left")  # as few rows as relations
+    return found.drop("_source")
 
 
-def subject_by_source(unioned: DataFrame) -> DataFrame:
-    """The same as a window, for small page lists."""
-    english = F.when(F.col("lang") == "en", F.lower(F.replace(F.col("title"), F.lit("-"), F.lit("_"))))
-    return unioned.withColumn("subject", F.max(english).over(Window.partitionBy("_source_relation")))
+def pages_of_interest(relations: dict[str, DataFrame]) -> DataFrame:
+    """All pages of some relations, each with the subject of its relation."""
+    return subject_by_source(union_relations(relations))
 
 
 def tagged_views(views: DataFrame, pages: DataFrame, as_of: date, days: int) -> DataFrame:

@@ -5,9 +5,12 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hexmart.session import fresh_path
+from hexmart.sources import folders
+
 
 def first_snapshot(current: DataFrame, key: str, run_at: datetime, prefix: str = "") -> DataFrame:
     """The rows as open versions from ``run_at`` on; ``prefix`` goes before the names of the version columns."""
@@ -48,3 +51,21 @@ def split_invalidated(snapshot: DataFrame, inserted_at: datetime, prefix: str =
     valid_to = F.col(f"{prefix}valid_to")
     audit = snapshot.filter(valid_to.isNotNull())
     return snapshot.filter(valid_to.isNull()), audit.withColumn("_inserted_at", F.lit(inserted_at).cast("timestamp_ntz"))
+
+
+def clean_up(spark: SparkSession, path: str, audit_path: str, inserted_at: datetime, prefix: str = "") -> int:
+    """Move the closed rows of a stored snapshot to its audit table; returns how many.
+
+    The audit rows are written first, into a folder named after the run, so that a run repeated after a stop writes the same folder
+    again and none is there twice.  Then the rows that stay are stored, and take the place of the snapshot's folder by a rename.
+    """
+    snapshot = spark.read.parquet(path)
+    kept, closed = split_invalidated(snapshot, inserted_at, prefix)
+    run = f"{audit_path}/run={inserted_at:%Y%m%dT%H%M%S%f}"
+    closed.write.mode("overwrite").parquet(run)
+    moved = spark.read.schema(closed.schema).parquet(run).count()
+    if moved:
+        staged = fresh_path(spark, "snapshot")
+        kept.write.parquet(staged)
+        folders.swap(spark, staged, path)
+    return moved

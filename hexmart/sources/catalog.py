@@ -8,6 +8,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hexmart.operators.quality import key_and_srid
+from hexmart.session import materialize
+
 
 @dataclass(frozen=True)
 class Source:
@@ -32,6 +35,19 @@ class Catalog:
         reader = spark.read.format(source.format).options(**source.options)
         return (reader.schema(source.schema) if source.schema else reader).load(source.path)
 
+    def lookup(self, spark: SparkSession, name: str, key: str) -> DataFrame:
+        """A named table, indexed by a field; see :func:`lookup_table`."""
+        return lookup_table(self.load(spark, name), key, name)
+
+
+def lookup_table(df: DataFrame, key: str, name: str = "the table") -> DataFrame:
+    """A table to look rows up in: stored with ``key`` in front, and refused if a key is NULL or comes twice."""
+    stored = materialize(df.select(key, *[c for c in df.columns if c != key]), "lookup")
+    null_keys, twice = key_and_srid(stored.withColumn("_srid", F.lit(0)), key, "_srid", 0).first()[1:]
+    if null_keys or twice:
+        raise ValueError(f"{name} is no look-up table by {key}: {null_keys} rows without key, {twice} with a key that another has")
+    return stored
+
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV seed with a header and declared types; nothing is inferred."""

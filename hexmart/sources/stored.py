@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexmart.session import materialize
+from hexmart.sources import folders
 from hexmart.sources.sinks import cluster_by_cell
 
 # How Spark names the folder of the rows whose partition column is null.
@@ -31,18 +32,9 @@ class StoredTable:
     partition: str
     schema: str
 
-    def _folder(self, path: str | None = None):
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        folder = hadoop.Path(path or self.path)
-        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
     def _folders(self) -> list[str]:
         """Names of the partition folders, from one listing on the driver; no file is opened."""
-        folder, files = self._folder()
-        if not files.exists(folder):
-            return []
-        names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
-        return sorted(name for name in names if name.startswith(f"{self.partition}="))
+        return [name for name in folders.subfolders(self.spark, self.path) if name.startswith(f"{self.partition}=")]
 
     def partitions(self) -> list:
         """The stored partition values, None for null, of the partition column's type."""
@@ -92,8 +84,7 @@ class StoredTable:
         held = dict(zip(self.partitions(), self._folders()))
         for value in values:
             if value in held:
-                folder, files = self._folder(f"{self.path}/{held[value]}")
-                files.delete(folder, True)
+                folders.delete(self.spark, f"{self.path}/{held[value]}")
 
     def _touched(self, rows: DataFrame) -> list:
         """Partition values of ``rows``: one row per partition comes to the driver, as from a listing."""

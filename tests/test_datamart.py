@@ -7,9 +7,10 @@ from hexmart.functions import cells as C
 from hexmart.operators import aggregates as A
 from hexmart.operators import skew
 from hexmart.operators.lookup import unnest_json
-from hexmart.plans.datamart import JsonField, MartSpec, Table, build_datamart, build_facts
-from hexmart.plans.select import Join, build_select
+from hexmart.plans.datamart import JsonField, MartSpec, Table, build_datamart, build_facts, write_datamart
+from hexmart.plans.select import Children, Join, build_select
 from hexmart.plans.spec import Attr
+from hexmart.session import fresh_path
 from tests import plain
 from tests.test_joins import random_cells
 
@@ -192,3 +193,62 @@ def test_null_rules_of_arrays(spark):
     df = spark.createDataFrame([(1, "b"), (1, None), (1, "a"), (1, "b"), (2, "z")], "k int, v string")
     got = {r.k: (r.vs, r.n) for r in df.groupBy("k").agg(A.array_distinct("v").alias("vs"), A.array_length("v").alias("n")).collect()}
     assert got == {1: (["a", "b", None], 3), 2: (["z"], 1)}
+
+
+def test_children_of_a_spec(spark):
+    coarse, fine = plain.make(20, [1]), plain.make(20, [2, 3, 4])
+    pentagon = plain.make(4, [])
+    df = spark.createDataFrame([("a", coarse), ("b", fine), ("c", pentagon), ("d", None)], "n string, cell bigint")
+    want = {(n, k) for n, c in (("a", coarse), ("c", pentagon)) for k in plain.descendants(c, 2)}
+    out = build_select({"t": df}, {"t": ["n", "hex_id_children+", "geom_children+"]}, [Children("t", 2, keep=False)])
+    rows = out.collect()
+    assert {(r.n, int(r.hex_id, 16)) for r in rows} == want and len(rows) == len(want) and all(len(r.geometry) == 7 for r in rows)
+    kept = build_select({"t": df}, {"t": ["n", "hex_id_children+"]}, [Children("t", 2)]).collect()
+    assert {(r.n, r.hex_id and int(r.hex_id, 16)) for r in kept} == want | {("b", None), ("d", None)}
+    level = build_select({"t": df.filter("n in ('a', 'b')")}, {"t": ["n", "hex_id+2", "geom+cell+2"]}, [Children("t", 2)]).collect()
+    assert {(r.n, int(r.hex_id, 16)) for r in level} == {k for k in want if k[0] == "a"} | {("b", plain.parent(fine, 2))}
+    with pytest.raises(ValueError, match="dates"):
+        build_select({"t": df}, {"t": ["date+n+year+y"]})
+
+
+def test_children_among_listed_cells_are_never_expanded(spark, monkeypatch):
+    """A cell eleven levels up has two billion children at the level; the two that are listed are found at once."""
+    top, listed = plain.make(20, [1]), [plain.make(20, [1, *digits]) for digits in ([0] * 11, [6, 5, 4, 3, 2, 1, 0, 1, 2, 3, 4])]
+    df = spark.createDataFrame([("a", top), ("a2", top), ("self", listed[0]), ("far", plain.make(21, [1])), ("finer", plain.make(20, [1] + [0] * 12)), ("null", None)], "n string, cell bigint")
+    others = spark.createDataFrame([(c,) for c in listed * 3 + [plain.make(22, [0] * 12)]], "cell bigint")
+
+    def never(*_, **__):
+        raise AssertionError
+
+    monkeypatch.setattr(C, "explode_children", never)
+    want = {("a", c) for c in listed} | {("a2", c) for c in listed} | {("self", listed[0])}
+    spec = {"t": ["n", "hex_id_children+"]}, [Children("t", 12, keep=False, among="o")]
+    rows = build_select({"t": df, "o": others}, *spec).collect()
+    assert {(r.n, int(r.hex_id, 16)) for r in rows} == want and len(rows) == len(want)
+    kept = build_select({"t": df, "o": others}, spec[0], [Children("t", 12, among="o")]).collect()
+    assert {(r.n, r.hex_id and int(r.hex_id, 16)) for r in kept} == want | {("far", None), ("finer", None), ("null", None)}
+    assert build_select({"t": df.limit(0), "o": others}, *spec).count() == 0
+
+
+def test_dimension_of_mixed_levels(tables, spark):
+    """Coarse, equal and fine dimension cells meet the mart's cells on one level."""
+    dims = [(plain.make(20, [1]), "coarse"), (plain.make(20, [1, 1, 1]), "equal"), (plain.make(20, [1, 1, 1, 4]), "fine"), (plain.make(20, [2]), "other"), (plain.make(20, []), "top")]
+    fires = spark.createDataFrame([(plain.make(20, [1, 1, 1, 0, 2]), 1), (plain.make(20, [3, 3, 3]), 2)], "cell bigint, objectid int")
+    df = spark.createDataFrame(dims, "cell bigint, nom string")
+    mart = build_datamart(MartSpec([Table("f", fires, "indicator", ["!objectid"]), Table("d", df, "dimension", ["nom"])], 3))
+    assert sorted((r.objectid, r.nom) for r in mart.collect()) == [(1, "coarse"), (1, "equal"), (1, "fine"), (1, "top"), (2, "top")]
+
+
+def test_stored_mart_with_its_options(tables, spark):
+    spec = small_spec(tables, set_index=True, set_esri=True)
+    spec.tables[0].attributes[0] = "!?objectid"
+    spec.json = []
+    spec.tables[0].attributes[1] = "!date+begdate+year+annee"
+    mart = build_datamart(spec)
+    rows = mart.collect()
+    assert [r.objectid for r in rows] == sorted(r.objectid for r in rows) and [r.id_esri for r in rows] == list(range(1, len(rows) + 1))
+    stored = write_datamart(spec, fresh_path(spark, "mart"))
+    assert stored.columns == [*mart.columns, "srid"] and stored.count() == len(rows)
+    assert {r.srid for r in stored.collect()} == {3163} and sorted(r.id_esri for r in stored.collect()) == list(range(1, len(rows) + 1))
+    plain_spec = small_spec(tables)
+    assert write_datamart(plain_spec, fresh_path(spark, "mart")).columns == build_datamart(plain_spec).columns

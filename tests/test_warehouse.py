@@ -1,4 +1,6 @@
-from datetime import date, datetime
+import hashlib
+import os
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,11 +10,11 @@ from hexmart.operators import quality as Q
 from hexmart.plans import lambdaview as L
 from hexmart.plans import pageviews as P
 from hexmart.plans import snapshot as SN
-from hexmart.plans.matview import MaterializedView
+from hexmart.plans.matview import MaterializedView, masked_view, unnest_view
 from hexmart.session import fresh_path
 from hexmart.sources import incremental as I
 from hexmart.sources import sinks
-from hexmart.sources.catalog import Catalog, Source, freshness, read_csv
+from hexmart.sources.catalog import Catalog, Source, freshness, lookup_table, read_csv
 from hexmart.streaming import streams as ST
 
 # Gender per id in the first load and in the update.
@@ -213,3 +215,131 @@ def test_streams_equal_batch_after_several_runs(spark):
     live = ST.page_views_so_far(spark, f"{path}/views").select(*batch.columns)
     assert tuple(Q.relation_equality(live, batch).first()) == (0, 0) and batch.count() > 5
     assert [tuple(r) for r in ST.latest(spark, f"{path}/counts", ["page_url"]).collect()] == [("url", 24)]
+
+
+def test_rows_five_days_late_are_counted(spark):
+    """Deliveries out of order, history folded in between; reads take the history and what came after it, and nothing else."""
+    path = fresh_path(spark, "stream")
+
+    def deliver(days):
+        spark.createDataFrame(web_rows(days), WEB).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        ST.page_view_stream(ST.read_stream(spark, f"{path}/in", WEB, files_per_trigger=1), f"{path}/views", f"{path}/c").awaitTermination()
+
+    def check():
+        batch = L.page_views(spark.read.parquet(f"{path}/in"))
+        live = ST.page_views_so_far(spark, f"{path}/views").select(*batch.columns)
+        assert tuple(Q.relation_equality(live, batch).first()) == (0, 0)
+        return {f.split("/views/")[1].split("/")[0] for f in ST.unfolded(spark, f"{path}/views").inputFiles()}
+
+    deliver([8, 9])
+    deliver([9])
+    assert len(check()) == 2
+    ST.fold_page_views(spark, f"{path}/views", at_least=3)
+    assert len(check()) == 2
+    ST.fold_page_views(spark, f"{path}/views", at_least=2)
+    assert check() == {"base=000000000001"}
+    deliver([3, 4])  # five days behind the newest
+    assert check() == {"base=000000000001", "batch=000000000002"}
+    ST.fold_page_views(spark, f"{path}/views")
+    deliver([1])
+    ST.fold_page_views(spark, f"{path}/views")
+    assert check() == {"base=000000000003"}
+    days = {r.page_view_start.day for r in ST.page_views_so_far(spark, f"{path}/views").collect()}
+    assert days >= {1, 3, 8}
+
+
+def test_a_stopped_fold_and_a_stopped_batch_change_nothing(spark):
+    path = fresh_path(spark, "stream")
+    spark.createDataFrame(web_rows([1, 2]), WEB).write.parquet(f"{path}/in")
+    source = ST.read_stream(spark, f"{path}/in", WEB)
+    ST.auto_refresh(source.groupBy("page_url").agg(F.count("*").alias("num")), f"{path}/counts", f"{path}/c").awaitTermination()
+    spark.createDataFrame([("url", 99)], "page_url string, num bigint").write.parquet(f"{path}/counts/batch=000000000009")
+    os.remove(f"{path}/counts/batch=000000000009/_SUCCESS")  # not complete
+    assert [tuple(r) for r in ST.latest(spark, f"{path}/counts", ["page_url"]).collect()] == [("url", 12)]
+    ST.fold_latest(spark, f"{path}/counts", ["page_url"])
+    assert [tuple(r) for r in ST.latest(spark, f"{path}/counts", ["page_url"]).collect()] == [("url", 12)]
+    with pytest.raises(ValueError):
+        ST.unfolded(spark, f"{path}/nothing")
+
+
+def test_view_options(spark):
+    made = []
+
+    def rows():
+        made.append(1)
+        return spark.range(1000).select((F.col("id") % 3).alias("k"), F.lit(len(made)).alias("version"))
+
+    start = datetime(2024, 1, 1)
+    for kind in ("view", "table"):
+        made.clear()
+        view = MaterializedView(f"options_{kind}", rows, refresh_minutes=30, cluster_by=["k"], kind=kind)
+        versions = [view.build(spark, now=start + timedelta(minutes=m)).first().version for m in (0, 10, 29, 31, 45, 61)]
+        assert versions == [1, 1, 1, 2, 2, 3] and view.refreshed_at(spark) == start + timedelta(minutes=61)
+        assert view.build(spark, full_refresh=True, now=start).first().version == 4
+        assert spark.catalog.getTable(view.name).tableType == ("VIEW" if kind == "view" else "EXTERNAL")
+    view = MaterializedView("options_view", rows, kind="table", dist="k", sort=["version"])  # the other kind under the same name
+    assert view.build(spark).count() == 1000 and spark.catalog.getTable("options_view").tableType == "EXTERNAL"
+    with pytest.raises(ValueError):
+        MaterializedView("options_both", rows, cluster_by=["k"], dist="k").build(spark)
+
+
+def test_hot_cluster_key_fills_several_files(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = lambda: spark.range(8000).select(F.when(F.col("id") < 80, F.col("id")).otherwise(F.lit(5)).alias("k"), "id")
+        stored = MaterializedView("hot_key", rows, cluster_by=["k"]).build(spark, full_refresh=True)
+        files = stored.groupBy(F.input_file_name()).count().collect()
+        assert max(r["count"] for r in files) < 0.4 * 8000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_views_of_the_catalog(spark):
+    path = fresh_path(spark, "people")
+    df = spark.createDataFrame([(1, "Ann", '[{"a": 1}, {"a": 2}]'), (2, None, "[]"), (3, "Bob", '[{"a": 3}]')], "pid int, name string, detail string")
+    df.write.parquet(path)
+    spark.sql("DROP TABLE IF EXISTS people_table")
+    spark.sql(f"CREATE TABLE people_table USING parquet LOCATION '{path}'")
+    me = spark.sql("SELECT current_user()").first()[0]
+    hidden = masked_view(spark, "people_hidden", "people_table", ["name", "pid"], ("nobody", "o'brien", "back\\slash"))
+    shown = masked_view(spark, "people_shown", "people_table", ["name"], (me,))
+    assert {r.name for r in shown.collect()} == {"Ann", "Bob", None}
+    assert {r.name for r in hidden.collect()} == {hashlib.md5(b"Ann").hexdigest(), hashlib.md5(b"Bob").hexdigest(), None}
+    assert [f.dataType.simpleString() for f in hidden.schema.fields] == ["string", "string", "string"]
+    spark.createDataFrame([(4, "Eve", "[]")], df.schema).write.mode("append").parquet(path)
+    spark.catalog.refreshTable("people_table")
+    assert spark.table("people_shown").filter("name = 'Eve'").count() == 1  # the view is live
+    flat = unnest_view(spark, "view_people", "people_table", "detail", {"a": "int"}).drop("name")
+    assert sorted(map(tuple, flat.collect())) == [(1, 1, 1), (2, 1, 2), (3, 3, 3)]
+
+
+def test_snapshot_clean_up_writes_the_audit_first(spark, monkeypatch):
+    path = fresh_path(spark, "snapshot")
+    rows = [(1, 10, datetime(2020, 1, 1), None), (1, 5, datetime(2019, 1, 1), datetime(2020, 1, 1)), (2, 7, datetime(2019, 1, 1), datetime(2019, 6, 1))]
+    df = spark.createDataFrame(rows, "k int, v int, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    df.write.parquet(f"{path}/s")
+    at = datetime(2020, 2, 5, 1, 2, 3)
+
+    def stop(*_):
+        raise OSError
+
+    monkeypatch.setattr(SN.folders, "swap", stop)
+    with pytest.raises(OSError):
+        SN.clean_up(spark, f"{path}/s", f"{path}/a", at)
+    assert spark.read.parquet(f"{path}/s").count() == 3 and spark.read.parquet(f"{path}/a").count() == 2
+    monkeypatch.undo()
+    assert SN.clean_up(spark, f"{path}/s", f"{path}/a", at) == 2  # run again after the stop: nothing is there twice
+    assert [(r.k, r.v) for r in spark.read.parquet(f"{path}/s").collect()] == [(1, 10)]
+    assert sorted((r.k, r.v, r._inserted_at) for r in spark.read.parquet(f"{path}/a").collect()) == [(1, 5, at), (2, 7, at)]
+    assert SN.clean_up(spark, f"{path}/s", f"{path}/a", at + timedelta(days=1)) == 0 and spark.read.parquet(f"{path}/a").count() == 2
+
+
+def test_lookup_tables_hold_each_key_once(spark, tmp_path):
+    df = spark.createDataFrame([("x", 1), ("y", 2)], "v string, k int")
+    assert lookup_table(df, "k").columns == ["k", "v"]
+    for bad in (df.unionByName(df), df.unionByName(df.withColumn("k", F.lit(None).cast("int")))):
+        with pytest.raises(ValueError):
+            lookup_table(bad, "k")

@@ -11,9 +11,9 @@ from hexmart.operators.hierjoin import adaptive_join, link_cells
 from hexmart.operators.lookup import standardize_field, unnest_json
 from hexmart.operators.rowid import dense_row_id
 from hexmart.operators.skew import cell_profile
-from hexmart.plans.datamart import JsonField, MartSpec, Table, build_datamart, build_facts, context_join, resolution_range
-from hexmart.session import materialize
-from hexmart.plans.select import Join, build_select
+from hexmart.plans.datamart import JsonField, MartSpec, Table, build_datamart, build_facts, context_join, resolution_range, write_datamart
+from hexmart.session import fresh_path, materialize
+from hexmart.plans.select import Children, Join, build_select
 from workload import standins as S
 from workload.registry import query, table
 
@@ -284,3 +284,36 @@ def q_dense_row_id(spark: SparkSession, sf: str) -> DataFrame:
 def children_table(spark: SparkSession, sf: str) -> DataFrame:
     kids = C.explode_children(S.communes(spark, sf), "cell", 5, "kid", step=2)
     return kids.select("nom", C.to_hex("cell").alias("hex_id"), C.to_hex("kid").alias("child"))
+
+
+@query("select_children", f"""WITH {S.COMMUNES}, kids AS (SELECT nom, unnest({S.sql_children('cell', 5)}) AS kid FROM communes)
+SELECT nom, {S.sql_hex('kid')} AS hex_id, {S.sql_boundary('kid')} AS boundary FROM kids""")
+def select_children(spark: SparkSession, sf: str) -> DataFrame:
+    """The lateral join with all children of a level, their ids and their geometry, from a spec."""
+    out = build_select({"c": S.communes(spark, sf)}, {"c": ["nom", "hex_id_children+", "geom_children+"]}, [Children("c", 5, keep=False)])
+    return out.select("nom", "hex_id", S.boundary_text(F.col("geometry")).alias("boundary"))
+
+
+@query("select_children_among", f"""WITH {S.FIRES}, {S.COMMUNES}, kids AS (SELECT nom, unnest({S.sql_children('cell', RES)}) AS kid FROM communes),
+seen AS (SELECT DISTINCT {S.sql_parent('cell', str(RES))} AS kid FROM fires WHERE {S.sql_res('cell')} >= {RES})
+SELECT nom, {S.sql_hex('kid')} AS hex_id FROM kids SEMI JOIN seen USING (kid)""")
+def select_children_among(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for the children that occur in another table, met on their ancestors; no commune is expanded."""
+    fires = S.fires(spark, sf).filter(C.resolution("cell") >= RES)
+    tables = {"c": S.communes(spark, sf), "m": fires.select(C.parent("cell", RES).alias("cell"))}
+    return build_select(tables, {"c": ["nom", "hex_id_children+"]}, [Children("c", RES, keep=False, among="m")])
+
+
+@query("select_at_level", f"""WITH {S.FIRES} SELECT {S.sql_hex(SQL_NORMAL)} AS hex_id, count(*) AS n FROM fires GROUP BY 1""")
+def select_at_level(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of mixed levels at one: ancestors of the fine ones, children of the coarse ones."""
+    fires = S.fires(spark, sf).withColumn("one", F.lit(1).cast("bigint"))
+    return build_select({"f": fires}, {"f": [f"!hex_id+{RES}", "sum+one+n"]}, [Children("f", RES)])
+
+
+@query("datamart_with_geometry", f"""WITH {SQL_MART}
+SELECT {S.sql_hex('t2.pos')} AS hex_id, annee, classe_n3, {S.sql_boundary('t2.pos')} AS boundary, commune, province FROM t2 JOIN places p ON p.pos = t2.pos""")
+def datamart_with_geometry(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole mart as stored: with its geometry, laid out by cell, numbered and checked for a map server."""
+    mart = write_datamart(mart_spec(spark, sf, set_index=True, set_esri=True), fresh_path(spark, "mart"))
+    return mart.withColumn("boundary", S.boundary_text(F.col("geometry"))).drop("geometry", "id_esri", "srid")

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from hexmart.functions import bustime as B
 from hexmart.operators import quality as Q
+from hexmart.operators.aggregates import json_fold
 from hexmart.operators.lookup import not_in, union_relations
 from hexmart.plans import lambdaview as L
 from hexmart.plans import pageviews as P
 from hexmart.plans import snapshot as SN
-from hexmart.plans.matview import MaterializedView
+from hexmart.plans.matview import MaterializedView, geometry_view, unnest_view
+from hexmart.plans.matview import masked_view as masked_view_of
 from hexmart.session import fresh_path, materialize
 from hexmart.sources import incremental as I
 from hexmart.sources import sinks
@@ -41,6 +43,14 @@ def scan_csv_typed(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
 
 
+@query("scan_lookup", f"WITH {S.DATES} SELECT date, date_id, year FROM dates")
+def scan_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored dimension, read by name and indexed by its key."""
+    path = fresh_path(spark, "dates")
+    S.dates(spark, sf).write.parquet(path)
+    return Catalog({"dims.dates": Source(path)}).lookup(spark, "dims.dates", "date_id")
+
+
 @query("source_freshness", """SELECT max(ts) AS newest, date_sub('second', max(ts), TIMESTAMP '2024-01-31 06:00:00') / 3600.0::DOUBLE AS age_hours,
 date_sub('second', max(ts), TIMESTAMP '2024-01-31 06:00:00') / 3600.0::DOUBLE > 1 AS stale FROM events""")
 def source_freshness(spark: SparkSession, sf: str) -> DataFrame:
@@ -462,6 +472,19 @@ def snapshot_cleanup(spark: SparkSession, sf: str) -> DataFrame:
     return both.select("kept_in", "date_day", "total_revenue", "valid_to", "_inserted_at")
 
 
+@query("snapshot_cleanup_stored", f"""WITH {SQL_REVENUE} SELECT CASE WHEN valid_to IS NULL THEN 'main' ELSE 'audit' END AS kept_in, date_day, total_revenue, valid_to,
+CASE WHEN valid_to IS NOT NULL THEN TIMESTAMP '2002-02-02' END AS _inserted_at FROM snap""")
+def snapshot_cleanup_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """As one step on a stored snapshot: audit rows first, then the snapshot without them; a second run moves nothing."""
+    path = fresh_path(spark, "cleanup")
+    _snapshot(spark, sf).write.parquet(f"{path}/snapshot")
+    SN.clean_up(spark, f"{path}/snapshot", f"{path}/audit", RUN_3)
+    SN.clean_up(spark, f"{path}/snapshot", f"{path}/audit", RUN_3 + timedelta(days=1))
+    main = spark.read.parquet(f"{path}/snapshot").withColumn("kept_in", F.lit("main"))
+    audit = spark.read.parquet(f"{path}/audit").withColumn("kept_in", F.lit("audit"))
+    return main.unionByName(audit, allowMissingColumns=True).select("kept_in", "date_day", "total_revenue", "valid_to", "_inserted_at")
+
+
 def _segments(customers: DataFrame) -> DataFrame:
     return customers.groupBy("c_mktsegment").agg(F.count("*").alias("num"))
 
@@ -516,6 +539,52 @@ def masked_view(spark: SparkSession, sf: str) -> DataFrame:
     return Q.masked(table(spark, sf, "customer"), ["c_name", "c_mktsegment"], ("alice",), "bob")
 
 
+def _named(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """``df`` as a table of the catalog, under a name of its own."""
+    name = f"{name}_{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    spark.sql(f"CREATE TABLE `{name}` USING parquet LOCATION '{path}'")
+    return name
+
+
+@query("masked_live_view", "SELECT c_custkey, md5(c_name) AS c_name, md5(c_nationkey::VARCHAR) AS c_nationkey, c_mktsegment FROM customer")
+def masked_live_view(spark: SparkSession, sf: str) -> DataFrame:
+    """A view of the catalog; who reads it decides what it shows."""
+    source = _named(spark, table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), "customers")
+    return masked_view_of(spark, f"{source}_shown", source, ["c_name", "c_nationkey"], ("alice", "o'brien"))
+
+
+@query("mv_table", SQL_SEGMENTS)
+def mv_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The result as a table of the catalog, dealt by a key and sorted, refreshed at most hourly."""
+    calls = []
+    rows = lambda: (calls.append(1), _segments(table(spark, sf, "customer")))[1]
+    view = MaterializedView(f"mv_{uuid.uuid4().hex}", rows, kind="table", dist="c_mktsegment", sort=["num"], refresh_minutes=60)
+    for minutes in (0, 30):  # the second run finds a version that is young enough
+        out = view.build(spark, now=datetime(2024, 1, 1) + timedelta(minutes=minutes))
+    assert len(calls) == 1
+    return out
+
+
+@query("unnest_stored_view", """SELECT CAST(row_number() OVER (ORDER BY o_custkey, key, price) AS BIGINT) AS id, o_custkey, key, price FROM (
+  SELECT o_custkey, o_orderkey AS key, CAST(round(o_totalprice) AS BIGINT) AS price FROM orders)""")
+def unnest_stored_view(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders of each customer folded into JSON and taken apart again, numbered, under a view name."""
+    orders = table(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("key"), F.round("o_totalprice").cast("bigint").alias("price"))
+    folded = json_fold(orders, ["o_custkey"], {"key": "key", "price": "price"}, "detail")
+    source = _named(spark, folded, "folded")
+    return unnest_view(spark, f"view_{source}", source, "detail", {"key": "bigint", "price": "bigint"})
+
+
+@query("geometry_stored_view", f"""WITH {S.FIRES} SELECT CAST(row_number() OVER (ORDER BY cell, o_orderkey) AS BIGINT) AS id, {S.sql_hex('cell')} AS hex_id, o_orderkey,
+{S.sql_boundary('cell')} AS boundary FROM fires""")
+def geometry_stored_view(spark: SparkSession, sf: str) -> DataFrame:
+    source = _named(spark, S.fires(spark, sf).select("cell", "o_orderkey"), "fires")
+    view = geometry_view(spark, f"view_{source}", source)
+    return view.select("id", "hex_id", "o_orderkey", S.boundary_text(F.col("geometry")).alias("boundary"))
+
+
 @query("relation_equality", """WITH a AS (SELECT l_orderkey, l_linenumber FROM lineitem), b AS (SELECT l_orderkey, CASE WHEN l_returnflag = 'R' THEN 99 ELSE l_linenumber END AS l_linenumber FROM lineitem)
 SELECT (SELECT count(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)) AS only_left, (SELECT count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) AS only_right""")
 def relation_equality(spark: SparkSession, sf: str) -> DataFrame:
@@ -639,6 +708,17 @@ def fct_support_tickets(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("weekdays_to_first_response", F.col("weekdays_to_first_response").cast("bigint"))
 
 
+_LAST_SUNDAY = "(make_date(year(moment), {m}, 31) - CAST(dayofweek(make_date(year(moment), {m}, 31)) AS INTEGER))"
+
+
+@query("local_time", f"""WITH e AS (SELECT event_id, ts + to_days(CAST(event_id % 366 AS INTEGER)) AS moment FROM events)
+SELECT event_id, moment + CASE WHEN moment >= {_LAST_SUNDAY.format(m=3)} + INTERVAL 1 HOUR AND moment < {_LAST_SUNDAY.format(m=10)} + INTERVAL 1 HOUR THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS local FROM e""")
+def local_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Instants over a year on the wall clock of Paris, whatever zone the session has."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz"), F.col("ts")) + F.col("event_id") % 366 * 86_400_000_000
+    return table(spark, sf, "events").select("event_id", B.local_time(F.timestamp_micros(micros), "Europe/Paris").alias("local"))
+
+
 # Streams ----------------------------------------------------------------------------------------------------------
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -659,3 +739,16 @@ def page_views_stream(spark: SparkSession, sf: str) -> DataFrame:
     timed = events.withColumn("collector_tstamp", F.col("collector_tstamp").cast("timestamp"))
     ST.page_view_stream(timed, f"{path}/data", f"{path}/state").awaitTermination()
     return ST.page_views_so_far(spark, f"{path}/data").withColumn("collector_tstamp", F.col("collector_tstamp").cast("timestamp_ntz"))
+
+
+@query("page_views_late", f"WITH {SQL_EVENTS} SELECT * FROM {_sql_views()}")
+def page_views_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Events reach the stream in three deliveries, many of them weeks late; history is folded between them."""
+    path = fresh_path(spark, "stream")
+    events = table(spark, sf, "events").withColumn("_at", F.when(F.to_date("ts") < "2024-01-10", F.col("event_id") % 3).otherwise(F.lit(0)))
+    for delivery in range(3):
+        events.filter(F.col("_at") == delivery).drop("_at").write.mode("append").parquet(f"{path}/in")
+        ST.page_view_stream(web_events(ST.read_stream(spark, f"{path}/in", EVENT_SCHEMA)), f"{path}/data", f"{path}/state").awaitTermination()
+        if delivery == 1:
+            ST.fold_page_views(spark, f"{path}/data")
+    return ST.page_views_so_far(spark, f"{path}/data")
