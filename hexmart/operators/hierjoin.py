@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexmart.functions import cells as C
-from hexmart.operators.skew import heavy_keys, key_counts, weighted_join
+from hexmart.operators.skew import heavy_keys, heavy_keys_of, key_counts, weighted_join
 from hexmart.session import materialize
 
 # An ancestor with more cells below it is spread over several tasks.
@@ -94,7 +94,7 @@ def children_among(df: DataFrame, cells: DataFrame, cell: str, r: int, lo: int,
     the levels ``lo`` to ``hi`` that ``df`` has.  The work follows the listed cells and the pairs, however coarse a row is.
     """
     chains = _ancestors(cells.select("cell"), F.lit(lo), F.lit(min(hi, r)))
-    distinct = materialize(df.select(F.col(cell).alias("cell")).filter(C.resolution("cell") <= r).distinct(), "coarse")
-    pairs = materialize(_meet_ancestors(chains, distinct, lo, r).select(F.col("anc").alias("_above"), F.col("cell").alias(out)), "children")
-    weights = [heavy_keys(key_counts(df.select(F.col(cell).alias("_above")), "_above"), "_above"), heavy_keys(key_counts(pairs, "_above"), "_above")]
+    held = key_counts(df.select(F.col(cell).alias("_above")).filter(C.resolution("_above") <= r), "_above")
+    pairs = materialize(_meet_ancestors(chains, held.select(F.col("_above").alias("cell")), lo, r).select(F.col("anc").alias("_above"), F.col("cell").alias(out)), "children")
+    weights = [heavy_keys(held, "_above", ROWS_PER_SALT), heavy_keys_of(pairs, "_above", ROWS_PER_SALT)]
     return weighted_join(df.withColumn("_above", F.col(cell)), pairs, "_above", "inner", *weights).drop("_above")

@@ -33,6 +33,12 @@ def heavy_keys(counts: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK)
     return counts.filter(F.col("_n") > limit).select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_ways"))
 
 
+def heavy_keys_of(stored: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """:func:`heavy_keys` of a stored table.  Its rows are counted first, by the footers of its files: a table that one task may
+    carry has no heavy key."""
+    return heavy_keys(key_counts(stored, key), key, rows_per_task) if stored.count() > rows_per_task else None
+
+
 def weighted_join(
     left: DataFrame, right: DataFrame, on: str, how: str = "inner", left_heavy: DataFrame | None = None, right_heavy: DataFrame | None = None
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from hexmart.operators import aggregates as A
 from hexmart.operators.hierjoin import children_among, link_cells
 from hexmart.operators.quality import key_and_srid
 from hexmart.operators.rowid import dense_row_id
-from hexmart.operators.skew import CellProfile, cell_profile, heavy_keys, key_counts, weighted_join
+from hexmart.operators.skew import CellProfile, cell_profile, heavy_keys_of, weighted_join
 from hexmart.plans.spec import Attr
 from hexmart.session import materialize, spread
 from hexmart.sources.sinks import SRID, cluster_by_cell
@@ -136,7 +136,7 @@ def context_join(
     Link and context meet first, as the links hold one row per pair of cells however hot a cell of the facts is.  A coarse
     context cell may stand in very many links and hold very many rows; both are counted and spread by their own weight.
     """
-    linked = heavy_keys(key_counts(links, "tar"), "tar")
+    linked = heavy_keys_of(links, "tar")
     if around_profile is None:
         around_profile = cell_profile(around, around_cell)
     held = None if around_profile.heavy is None else around_profile.heavy.withColumnRenamed("cell", "tar")
@@ -210,8 +210,10 @@ def build_datamart(spec: MartSpec) -> DataFrame:
     With ``max_json_items`` large groups come as several rows, which ``json_part`` numbers.
     """
     facts, groups = build_facts(spec)
-    if spec.json and spec.all("context"):
+    folds = spec.json and spec.all("context")
+    if folds or spec.all("dimension"):
         facts = materialize(facts, "mart-facts")
+    if folds:
         folded = {alias for j in spec.json for alias in j.fields.values()}
         keys = ["_cell", *[g for g in groups if g not in folded]]
         marts = [A.json_fold(facts, keys, j.fields, j.name, spec.max_json_items, "json_part") for j in spec.json]
@@ -227,12 +229,9 @@ def build_datamart(spec: MartSpec) -> DataFrame:
         mart = facts
 
     dimension_columns = []
-    dimensions = spec.all("dimension")
-    if any(resolution_range(t.df, t.cell)[0] < spec.res for t in dimensions):
-        mart = materialize(mart, "mart")
-        cells = mart.select(F.col("_cell").alias("cell")).distinct()
-    for n, table in enumerate(dimensions):
-        lo, hi = resolution_range(table.df, table.cell)
+    dimensions = [(t, *resolution_range(t.df, t.cell)) for t in spec.all("dimension")]
+    cells = facts.select(F.col("_cell").alias("cell")).distinct()
+    for n, (table, lo, hi) in enumerate(dimensions):
         side = with_dates(table.df, table.attrs(), spec.dates, spec.date_key, "inner")
         wanted = [F.col(a.column or a.alias).alias(a.alias) for a in table.attrs() if not _is_geometry(a)]
         dimension_columns += [a.alias for a in table.attrs() if not _is_geometry(a)]
@@ -243,7 +242,8 @@ def build_datamart(spec: MartSpec) -> DataFrame:
         if lo < spec.res:
             coarse = side.filter(C.resolution(table.cell) < spec.res)
             parts.append(children_among(coarse, cells, table.cell, spec.res, lo, min(hi, spec.res - 1), placed).select(placed, *wanted))
-        side = reduce(DataFrame.unionByName, parts)
+        # Stored, so that Spark knows its size and spares the mart a shuffle where the dimension is small.
+        side = materialize(reduce(DataFrame.unionByName, parts), "dimension")
         mart = mart.join(side, F.col("_cell") == F.col(placed)).drop(placed)
 
     # The cell decides the geometry, so it is drawn once per result row and never grouped by or shuffled.

@@ -110,7 +110,7 @@ def test_facts_equal_the_row_by_row_join(tables):
 def test_hot_cells_change_nothing(tables, monkeypatch):
     want = collected(build_facts(spec_of(tables))[0])
     monkeypatch.setattr("hexmart.plans.datamart.cell_profile", lambda df, cell="cell": skew.cell_profile(df, cell, hot_rows=2))
-    monkeypatch.setattr("hexmart.plans.datamart.heavy_keys", lambda counts, key: skew.heavy_keys(counts, key, 2))
+    monkeypatch.setattr("hexmart.plans.datamart.heavy_keys_of", lambda stored, key: skew.heavy_keys_of(stored, key, 2))
     assert collected(build_facts(spec_of(tables))[0]) == want
 
 

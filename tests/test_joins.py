@@ -94,7 +94,7 @@ def test_one_key_with_nearly_all_rows_is_spread(spark, plain_shuffles):
 
 def test_context_join_spreads_a_coarse_cell(spark, plain_shuffles, monkeypatch):
     """One context cell above nearly all facts: its links are dealt over tasks."""
-    monkeypatch.setattr(datamart, "heavy_keys", lambda counts, key: skew.heavy_keys(counts, key, 200))
+    monkeypatch.setattr(datamart, "heavy_keys_of", lambda stored, key: skew.heavy_keys_of(stored, key, 200))
     coarse = plain.make(20, [1])
     fine = [plain.make(20, [1, a, b, c, d, e]) for a in range(7) for b in range(7) for c in range(7) for d in range(7) for e in range(2)]
     facts = spark.createDataFrame([(c, n) for n, c in enumerate(fine)], "cell bigint, n int")
