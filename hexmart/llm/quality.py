@@ -99,16 +99,18 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> Model:
     """Fit on at most ``per_class`` trusted positives and as many unlabelled texts, both of rows that are not held out.
 
     Trusted positives are rows of label 1. Unlabelled texts are drawn from all rows, whatever their label. The class prior is
-    the share of label 1 among the labelled rows. The samples are the rows of the least hashes of their ids. Without positives
-    or without texts the model knows nothing and gives the prior (0.5 without labels). Null labels and ids count as absent.
+    the share of label 1 among the labelled rows. The samples are the least hashes of ids; an id that several rows share stands
+    for one of their texts. Without positives or without texts the model knows nothing and gives the prior (0.5 without labels). Null labels and ids count as absent.
     """
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     shares = known.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
     prior = min(max(0.5 if shares is None else shares, 0.01), 0.99)
     turn = F.xxhash64(F.col("doc_id").cast("string"), F.lit("quality"))
-    draw = lambda df, kind: df.select("doc_id").orderBy(turn, "doc_id").limit(per_class).withColumn("kind", F.lit(kind))
+    draw = lambda df, kind: df.select("doc_id").distinct().orderBy(turn, "doc_id").limit(per_class).withColumn("kind", F.lit(kind))
     ids = draw(docs.where(F.col("doc_id").isNotNull() & ~held_out()), 0).unionByName(draw(known.where("quality = 1"), 1))
-    chosen = docs.select("doc_id", "text").join(F.broadcast(materialize(ids, "quality-sample")), "doc_id").select("kind", "text")
+    # One text per drawn id, of at most 2 * per_class ids, however many rows share it.
+    drawn = docs.select("doc_id", "text").join(F.broadcast(materialize(ids, "quality-sample")), "doc_id")
+    chosen = drawn.groupBy("kind", "doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("kind", "text")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
