@@ -71,10 +71,10 @@ class Box:
 
     def holds_id(self, cell: str, lo: int, hi: int, most: int = MOST_CELLS) -> Column:
         """Whether an id is in the cover: plain comparisons with literals, so they reach a Parquet scan."""
-        found = F.lit(False)
-        for low, high in self.ranges(lo, hi, most):
-            found = found | (F.col(cell) == low if low == high else (F.col(cell) >= low) & (F.col(cell) <= high))
-        return found
+        tests = [F.col(cell) == low if low == high else (F.col(cell) >= low) & (F.col(cell) <= high) for low, high in self.ranges(lo, hi, most)]
+        while len(tests) > 1:  # a balanced tree: hundreds of tests in a chain would be as deep as they are many
+            tests = [tests[n] | tests[n + 1] if n + 1 < len(tests) else tests[n] for n in range(0, len(tests), 2)]
+        return tests[0] if tests else F.lit(False)
 
     def meets(self, cell: str) -> Column:
         """Whether the hexagon of a cell and the box have a point in common: no axis of either keeps them apart."""

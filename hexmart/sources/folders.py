@@ -23,6 +23,15 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory())
 
 
+def data_files(spark: SparkSession, path: str) -> set[str]:
+    """Names of the data files right below ``path``."""
+    folder, files = _open(spark, path)
+    if not files.exists(folder):
+        return set()
+    names = (status.getPath().getName() for status in files.listStatus(folder) if status.isFile())
+    return {name for name in names if not name.startswith(("_", "."))}
+
+
 def delete(spark: SparkSession, path: str) -> None:
     folder, files = _open(spark, path)
     files.delete(folder, True)

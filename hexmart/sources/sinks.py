@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from hexmart.session import fresh_path
+from hexmart.sources import folders
 
 SRID = 3163
 
@@ -21,7 +22,7 @@ def update_table(
     types: dict[str, str] | None = None,
     rows_per_file: int | None = None,
 ) -> DataFrame:
-    """Append ``rows`` to a stored table or replace it; a batch without rows adds no file.
+    """Append ``rows`` to a stored table or replace it; a batch without rows adds no file.  The rows are made once.
 
     ``types`` casts columns, ``geometry`` names the geometry column, which is stored as ``geometry`` beside its SRID,
     ``rows_per_file`` bounds the rows written at a time.  Returns the rows as written.
@@ -32,12 +33,17 @@ def update_table(
         rows = rows.withColumn(column, F.col(column).cast(kind))
     if geometry:
         rows = rows.withColumnRenamed(geometry, "geometry").withColumn("srid", F.lit(SRID))
-    if mode == "append" and rows.isEmpty():
-        return rows
-    writer = rows.write.mode("append" if mode == "append" else "overwrite")
+    spark, counter = rows.sparkSession, Observation()
+    before = folders.data_files(spark, path) if mode == "append" else set()
+    writer = rows.observe(counter, F.count(F.lit(1)).alias("rows")).write.mode("append" if mode == "append" else "overwrite")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(path)
+    if mode == "append" and not counter.get["rows"]:
+        # Spark leaves a file without rows; what others may have added meanwhile is looked at and stays.
+        for name in folders.data_files(spark, path) - before:
+            if spark.read.parquet(f"{path}/{name}").isEmpty():
+                folders.delete(spark, f"{path}/{name}")
     return rows
 
 

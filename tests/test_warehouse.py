@@ -125,6 +125,22 @@ def test_update_table(spark):
     assert spark.read.parquet(path).count() == 0
 
 
+def test_update_table_makes_its_rows_once(spark):
+    path, made = fresh_path(spark, "sink"), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    rows = spark.range(100).mapInPandas(count, "id bigint")
+    sinks.update_table(rows, path, "append")
+    assert made.value == 100 and spark.read.parquet(path).count() == 100
+    files = sorted(os.listdir(path.removeprefix("file:")))
+    sinks.update_table(rows.filter("id < 0"), path, "append")
+    assert sorted(f for f in os.listdir(path.removeprefix("file:")) if not f.startswith(".")) == [f for f in files if not f.startswith(".")]
+
+
 def test_blocked_load_resumes(spark):
     path = fresh_path(spark, "blocks")
     df = spark.range(1000).withColumn("cell", F.col("id") % 50)
