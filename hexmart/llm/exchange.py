@@ -124,5 +124,27 @@ def repeated_places(entries: DataFrame, buckets: int) -> DataFrame:
     return per_row(entries.groupBy("bucket").applyInArrow(meet, "bucket int, row binary, places binary"), "places")
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """All lowest bytes, then all second ones and so on: high bytes of small numbers become runs of zeros, which Spark's codec folds."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def from_planes(packed: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+
+
+def steps(numbers: np.ndarray) -> bytes:
+    """Signed numbers as the planes of their differences, small ones of either sign as small numbers."""
+    step = np.diff(numbers, prepend=numbers.dtype.type(0))
+    return planes((step << 1) ^ (step >> (8 * numbers.itemsize - 1)))
+
+
+def from_steps(packed: bytes, kind: type) -> np.ndarray:
+    folded = from_planes(packed, kind)
+    half = (folded >> 1) & np.dtype(kind).type(np.iinfo(kind).max)
+    return np.cumsum(half ^ -(folded & 1), dtype=kind)
+
+
 def unpack(packed: bytes | None) -> np.ndarray:
     return np.unique(np.frombuffer(packed or b"", np.int32)).astype(np.int64)

@@ -5,7 +5,7 @@ import hashlib
 import numpy as np
 import pytest
 
-from hexmart.llm import components, minhash, recompression, simhash, suffix
+from hexmart.llm import components, exchange, minhash, recompression, simhash, suffix
 from tests.llm import brute
 
 
@@ -135,3 +135,28 @@ def test_near_fingerprints(spark):
     want = {(a, b, apart(a, b)) for a in names for b in names if a < b and apart(a, b) <= 3}
     df = spark.createDataFrame([(n,) for n in [*names, names[0], None]], "fingerprint string")
     assert {tuple(r) for r in simhash.near_fingerprints(df).collect()} == want
+
+
+@pytest.mark.parametrize("length", [16, 17, 140, 1000])
+def test_earlier_bytes_of_other_lengths(spark, length):
+    rng = np.random.default_rng(length)
+    passage = "".join(rng.choice(list("abcdefg "), 3 * length))
+    texts = ["".join(rng.choice(list("abcdefg "), n)) + passage[n : n + 2 * length] for n in (0, 7, 40, 300, 5)] + [passage, passage, None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = sorted((tuple(r) for r in suffix.shared_digest(df, length).collect()), key=str)
+    assert got == brute.earlier_bytes(pairs_of(df), length) and sum(r[2] for r in got) > length
+
+
+def test_lengths_without_meaning_are_refused(none):
+    for length in (15, 30_001):
+        with pytest.raises(ValueError):
+            suffix.shared_digest(none, length)
+
+
+@pytest.mark.parametrize("kind", [np.int32, np.int64])
+def test_packed_numbers_come_back(kind):
+    edge = np.iinfo(kind)
+    for numbers in ([], [0], [edge.max, edge.min, 0, -1, 1, edge.min, edge.max], list(range(-300, 70_000, 7))):
+        numbers = np.array(numbers, kind)
+        assert exchange.from_steps(exchange.steps(numbers), kind).tolist() == numbers.tolist()
+        assert exchange.from_planes(exchange.planes(numbers), kind).tolist() == numbers.tolist()
