@@ -207,3 +207,36 @@ def test_neighbours_odd_rows(spark):
     got = [tuple(r) for r in crosspolytope.nearest(df, F.col("vec_id") == 0).collect()]
     assert got == [(0, 1, 1, 0.0), (0, 2, 2, 0.0), (0, 3, 3, math.sqrt(5))]
     assert crosspolytope.nearest(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_cheapest_keys_are_those_of_the_least_sums():
+    rng = np.random.default_rng(3)
+    first, second = rng.random((2, 5, 16))
+    a, b = crosspolytope.cheapest_keys(first, second, 9)
+    for i in range(5):
+        sums = sorted((float(x + y), j, k) for j, x in enumerate(first[i]) for k, y in enumerate(second[i]))
+        assert {(j, k) for _, j, k in sums[:9]} == set(zip(a[i].tolist(), b[i].tolist()))
+    assert crosspolytope.cheapest_keys(first, second, 10_000)[0].shape == (5, 256)
+
+
+def test_share_of_rows_met_falls_as_rows_grow():
+    """Around 40 centres, as rows of a corpus are; the share counts all tables, the recall that of the nearest ten."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 64))
+    shares = []
+    for n in (2_000, 40_000):
+        x = centres[rng.integers(0, 40, n)] + rng.normal(size=(n, 64))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        seen, looks = np.zeros((50, n), bool), crosspolytope.probe_count(n)
+        for table in range(crosspolytope.TABLES):
+            costs = [crosspolytope.axis_costs(crosspolytope.rotate(x, 2 * table + k)) for k in (0, 1)]
+            key = costs[0].argmin(1) * 128 + costs[1].argmin(1)
+            a, b = crosspolytope.cheapest_keys(costs[0][:50], costs[1][:50], looks)
+            for i in range(50):
+                seen[i] |= np.isin(key, a[i] * 128 + b[i])
+        distance = ((x[:50, None] - x[None]) ** 2).sum(-1) if n < 5_000 else np.stack([((x - y) ** 2).sum(1) for y in x[:50]])
+        distance[np.arange(50), np.arange(50)] = np.inf
+        nearest = np.argsort(distance, axis=1)[:, :10]
+        assert np.take_along_axis(seen, nearest, 1).mean() >= 0.9
+        shares.append(seen.mean())
+    assert shares[1] < 0.75 * shares[0] < 0.3
