@@ -61,7 +61,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     A document longer than ``capacity`` words is cut into pieces of ``capacity`` words and a rest; every word is in one piece
     and every piece in one bin of at most ``capacity`` words. A bin holds no two pieces of one duplicate cluster (column ``cluster``,
     by default documents of equal text) and at most ``per_source`` pieces of one source, null being a source. A null, empty or
-    blank text gives one row of length 0 without a bin. Repeated rows are packed one by one; ids may be null; other columns are ignored.
+    blank text gives one row of length 0 without a bin. Repeated rows are packed one by one and spread over all groups; ids may be null; other columns are ignored.
 
     Pieces are dealt by a hash into groups whose number follows the number of pieces, and each group is packed by itself. A group of
     thousands of pieces leaves at most a few bins open, so little is lost against one list of all bins, which no task could hold.
@@ -70,21 +70,24 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     sized = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("cluster")), "pack-sizes")
     count = sized.agg(F.sum(F.ceil(F.col("size") / capacity))).first()[0] or 0
     groups = int(count / GROUP_PIECES) + 1
+    # Repeated rows meet as one row and a count; their copies are numbered and so dealt to different groups.
+    copies = sized.groupBy("doc_id", "source", "size", "cluster").agg(F.count(F.lit(1)).alias("copies"))
+    copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("size") / capacity) - 1, F.lit(0)).cast("int"))
-    pieces = sized.withColumn("piece", F.explode(numbers)).select(
-        "doc_id", "source", "cluster", "piece", (F.col("piece") * F.lit(capacity).cast("bigint")).alias("start"),
+    pieces = copies.withColumn("piece", F.explode(numbers)).select(
+        "doc_id", "source", "cluster", "copy", "piece", (F.col("piece") * F.lit(capacity).cast("bigint")).alias("start"),
         F.least(F.col("size") - F.col("piece") * F.lit(capacity).cast("bigint"), F.lit(capacity)).alias("length"))
-    grouped = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "source", "cluster", "piece"), F.lit(groups)).cast("int"))
+    grouped = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "source", "cluster", "copy", "piece"), F.lit(groups)).cast("int"))
 
     def fill(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(c, "ascending") for c in ("doc_id", "source", "cluster", "piece")])
+        table = table.sort_by([(c, "ascending") for c in ("doc_id", "source", "cluster", "copy", "piece")])
         length, group = table.column("length").to_pylist(), table.column("grp")[0].as_py()
         some = [i for i, n in enumerate(length) if n]
         source, same = table.column("source").to_pylist(), table.column("cluster").to_pylist()
         bins: list[int | None] = [None] * len(length)
         for i, b in zip(some, best_fit([(length[i], source[i], same[i]) for i in some], capacity, per_source)):
             bins[i] = (group << 32) | b
-        return table.drop_columns(["cluster", "grp"]).append_column("bin_id", pa.array(bins, pa.int64()))
+        return table.drop_columns(["cluster", "copy", "grp"]).append_column("bin_id", pa.array(bins, pa.int64()))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = grouped.groupBy("grp").applyInArrow(fill, f"doc_id {kind}, source string, piece int, start bigint, length bigint, bin_id bigint")

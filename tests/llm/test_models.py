@@ -240,3 +240,23 @@ def test_share_of_rows_met_falls_as_rows_grow():
         assert np.take_along_axis(seen, nearest, 1).mean() >= 0.9
         shares.append(seen.mean())
     assert shares[1] < 0.75 * shares[0] < 0.3
+
+
+def test_packing_spreads_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 500)
+    docs = spark.range(6000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("web").alias("source"), F.lit("a b c").alias("text"), F.col("id").alias("copy"))
+    out = packing.pack(docs).collect()
+    groups = defaultdict(int)
+    for r in out:
+        assert (r.doc_id, r.source, r.piece, r.start, r.length) == (7, "web", 0, 0, 3)
+        groups[r.bin_id >> 32] += 1
+    assert len(out) == 6000 == len({r.bin_id for r in out}) and len(groups) == 13 and max(groups.values()) < 700
+
+
+def test_mix_takes_the_same_texts_again(spark):
+    rows = [(None if i % 2 else 5, f"s{i % 3}", f"word{i} of some text {'x ' * (i % 4)}", i) for i in range(400)]
+    taken = []
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id bigint, source string, text string, size bigint").repartition(3 + len(taken))
+        taken.append(sorted(map(repr, mixing.take_mix(df).collect())))
+    assert taken[0] == taken[1] and len(taken[0]) > 300
