@@ -91,14 +91,14 @@ def mix_sources(docs: DataFrame, seed: int = 7, max_epochs: int = 3, cycle: int
 def take_mix(docs: DataFrame, seed: int = 7, max_epochs: int = 3, cycle: int = 3) -> DataFrame:
     """The documents of the mix: each row of ``docs`` as often as ``mix_sources`` says, with the columns of ``docs``.
 
-    Rows that agree in id, source and size share out their counts among them. Copies come from exploding a sequence of at
+    Rows that agree in id, source and size share out their counts among them, in the order of a hash of their texts, so that a rerun takes the same ones. Copies come from exploding a sequence of at
     most ``max_epochs`` numbers. An empty table stays empty.
     """
     key, counts_name, place, copy = fresh_names(docs, 4)
     counts = mix_sources(docs, seed, max_epochs, cycle).groupBy(F.xxhash64("doc_id", "source", "size").alias(key)).agg(
         F.sort_array(F.collect_list("repeats"), False).alias(counts_name))
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "source", word_count(F.col("text")))).join(counts, key)
-    placed = keyed.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(key)))
+    placed = keyed.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64("text"))))
     repeats = F.element_at(counts_name, F.col(place)).cast("int")
     taken = placed.where(repeats > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), repeats)))
     return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
