@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from hexmart.operators import hierjoin, skew
+from hexmart.operators import hierjoin, rowid, skew
 from hexmart.operators.lookup import not_in, standardize_field, unnest_json
 from hexmart.operators.rowid import dense_row_id
 from hexmart.plans import datamart
@@ -137,6 +137,20 @@ def test_dense_row_id(spark):
     assert [(r.k, r.v) for r in rows] == sorted(((r.k, r.v) for r in rows), key=lambda t: (t[0] is None, t[0] or 0, t[1]))
 
 
+def test_dense_row_id_ranges_by_short_keys(spark):
+    """Long texts do not reach the driver as range bounds, and the order is that of the whole texts."""
+    rng = random.Random(4)
+    start = "x" * rowid.RANGE_CHARS
+    texts = [None, "", "a", start, *[start + "y" * (20_000 + rng.randrange(3)) for _ in range(60)], *[rng.choice("abz") * rng.randrange(1, 200) for _ in range(60)]]
+    rows = [(t, [rng.randrange(3)] * rng.randrange(1, 20) if rng.random() < 0.9 else None, i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "t string, a array<int>, i int").repartition(5)
+    keys = df.select(*[k.alias(f"k{n}") for n, k in enumerate(rowid._range_keys(df, ["t", "a", "i"]))])
+    assert max(len(str(v)) for r in keys.collect() for v in r) <= rowid.RANGE_CHARS
+    want = sorted(rows, key=lambda r: (r[0] is None, r[0] or "", r[1] is None, r[1] or [], r[2]))
+    got = dense_row_id(df, ["t", "a", "i"]).orderBy("id").collect()
+    assert [tuple(r)[1:] for r in got] == want and [r.id for r in got] == list(range(1, len(rows) + 1))
+
+
 def test_standardize_field_keeps_positions(spark):
     df = spark.createDataFrame([(1, "a", "b", 9), (2, "b", "z", 8)], "id int, first string, second string, n int")
     lookup = spark.createDataFrame([("a", 10), ("b", 20)], "name string, key int")
