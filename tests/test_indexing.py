@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +136,23 @@ def test_stages_do_not_matter(layer, monkeypatch):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-4) for k in got)
 
 
+def test_cells_are_never_broadcast(layer):
+    """Their number is not known before they are cut, so the join with the attributes shuffles both sides."""
+    for out in (X.polyfill(layer, 8, "id"), X.index_uniform(layer, 8, "id"), X.overlap_area(layer, 8, "id")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_batches_are_cut_by_points():
+    sizes = [5, 7, R.MAX_POINTS, 3, 2 * R.MAX_POINTS, 4, *[1000] * 100]
+    values = [np.arange(n, dtype=float) for n in sizes]
+    batch = pa.RecordBatch.from_pydict({"xs": pa.array(values, pa.list_(pa.float64())), "ys": pa.array(values, pa.list_(pa.float64()))})
+    parts = list(R._slices(batch.slice(1)))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch.slice(1)]))
+    assert all(p.num_rows == 1 or len(R._points(p)[0]) <= R.MAX_POINTS for p in parts) and len(parts) < 10
+    assert all(R._points(p)[2][-1] == len(R._points(p)[0]) for p in parts) and not list(R._slices(batch.slice(0, 0)))
+
+
 def recursive_partition(share, start, tx, lo, hi, tx_spatial):
     out, level = {}, sorted(start)
     for r in range(lo, hi + 1):
