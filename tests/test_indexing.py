@@ -10,6 +10,8 @@ from hexmart.functions import cells as C
 from hexmart.functions import grid as G
 from hexmart.operators import rings as R
 from hexmart.plans import indexing as X
+from hexmart.session import shared_dir
+from hexmart.sources import folders
 from tests import plain
 
 GEOMETRY = "array<array<array<struct<x:double,y:double>>>>"
@@ -233,6 +235,16 @@ def test_adaptive_objects_by_recursion(layer, fast):
     assert {c for k, c in want if k == 3} & {c for k, c in want if k == 4}
 
 
+def test_only_one_level_stays_on_disk(spark, layer):
+    """The last level is never stored, and a stored one goes once the next is there."""
+    for build in (lambda: X.index_adaptive_objects(layer, "id", [0.9] * 16, 6, 9), lambda: X.index_adaptive_partition(layer, "cls", [0.9] * 16, 6, 9)):
+        before = set(folders.subfolders(spark, shared_dir(spark)))
+        out = build()
+        levels = [f for f in folders.subfolders(spark, shared_dir(spark)) if f not in before and f.startswith("level-")]
+        assert [r.level for r in spark.read.parquet(f"{shared_dir(spark)}/{levels[0]}").select("level").distinct().collect()] == [8] and len(levels) == 1
+        assert out.count() == out.count() > 0
+
+
 def test_wide_area_by_sampling(spark, layer):
     """The margin is a hexagon widened by a tenth of sqrt(area)."""
     r, n = 7, 400
