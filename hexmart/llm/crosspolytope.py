@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from hexmart.session import materialize
 
 TABLES = 8
-PROBES = 700  # of a table of FEW rows; more rows need fewer, as the nearest come nearer
-FEW, FALL = 2000, 0.2
+PROBES = 700
 NEAR_AXES = 64
 MOST_CELLS = 1 << 20
 BUCKET_ROWS = 20_000
@@ -60,10 +59,6 @@ def cheapest_keys(first: np.ndarray, second: np.ndarray, probes: int) -> tuple[n
     return np.take_along_axis(near[0], chosen // b.shape[1], 1), np.take_along_axis(near[1], chosen % b.shape[1], 1)
 
 
-def probe_count(rows: int, probes: int = PROBES) -> int:
-    return max(1, round(probes * (FEW / max(rows, 1)) ** FALL))
-
-
 def usable(embedding: Column) -> Column:
     bad = F.exists(embedding, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     return F.coalesce((F.size(embedding) > 0) & ~bad & F.exists(embedding, lambda v: v != 0), F.lit(False))
@@ -79,8 +74,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, tables: int = TAB
 
     Every row is hashed by its direction: a table chains the signed axes nearest to it after two pseudo-rotations into one key, so there
     are (2 * padded length)^2 keys. A query looks at the keys of the least summed distance to its own, ``probes`` of each of the
-    ``tables`` at FEW rows and fewer in larger tables (``probe_count``), so the share of rows it meets falls as rows grow.
-    What it finds is ranked by exact distances in double precision, ties by the smaller vec_id.
+    ``tables``, however many rows there are: what a query looks at follows from its vector alone. What it finds is ranked by exact distances in double precision, ties by the smaller vec_id.
     Vectors that are null, zero or hold a null or non-finite component take no part, nor do null ids or vectors of another length
     than most (the shorter on a tie). Rows of one id are one candidate at their least distance. No usable row gives no rows; other
     columns are ignored.
@@ -97,7 +91,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, tables: int = TAB
     valid = valid.where(F.size("embedding") == width)
     axes = 2 << max(width - 1, 0).bit_length()
     shares = max(1, min(axes, MOST_CELLS // (tables * axes), -(-total // (axes * BUCKET_ROWS))))
-    looks = probe_count(total, probes)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def entries(batch, table, row, cell, asks, second, lengths):
@@ -119,7 +112,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, tables: int = TAB
                 yield entries(batch, table, np.arange(len(x)), a * shares + b % shares, False, b, np.ones(len(x), np.int64))
                 for i in range(0, len(ask), QUERIES):
                     asked = ask[i : i + QUERIES]
-                    a, b = (axis.ravel() for axis in cheapest_keys(costs[0][asked], costs[1][asked], looks))
+                    a, b = (axis.ravel() for axis in cheapest_keys(costs[0][asked], costs[1][asked], probes))
                     cell, row = a * shares + b % shares, np.repeat(asked, len(a) // len(asked))
                     order = np.lexsort((cell, row))
                     cell, row, b = cell[order], row[order], b[order]
