@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -129,12 +129,20 @@ def _reduced(table: Table, dates: DataFrame | None, date_key: str, prefix: str)
 
 
 def context_join(
-    facts: DataFrame, links: DataFrame, around: DataFrame, cell: str, around_cell: str, profile: CellProfile, around_profile: CellProfile | None = None
+    facts: DataFrame,
+    links: DataFrame,
+    around: DataFrame,
+    cell: str,
+    around_cell: str,
+    profile: CellProfile,
+    around_profile: CellProfile | None = None,
+    merged: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """facts LEFT JOIN links LEFT JOIN around: rows without context are kept.
 
     Link and context meet first, as the links hold one row per pair of cells however hot a cell of the facts is.  A coarse
     context cell may stand in very many links and hold very many rows; both are counted and spread by their own weight.
+    ``merged`` reduces what stands around each cell ``src`` before the facts meet it.
     """
     linked = heavy_keys_of(links, "tar")
     if around_profile is None:
@@ -142,11 +150,78 @@ def context_join(
     held = None if around_profile.heavy is None else around_profile.heavy.withColumnRenamed("cell", "tar")
     nearby = weighted_join(links, around.withColumn("tar", F.col(around_cell)), "tar", left_heavy=linked, right_heavy=held)
     heavy = None if profile.heavy is None else profile.heavy.withColumnRenamed("cell", cell)
-    return weighted_join(facts, nearby.drop("tar").withColumnRenamed("src", cell), cell, "left", heavy)
+    nearby = nearby.drop("tar") if merged is None else merged(nearby.drop("tar"))
+    return weighted_join(facts, nearby.withColumnRenamed("src", cell), cell, "left", heavy)
+
+
+def _merged(table: Table, around: DataFrame, prefix: str) -> Callable[[DataFrame], DataFrame]:
+    """Context around a cell with one row per group and level: only its counts, partial values and area (that of its level) are asked
+    for later, so a coarse cell meets as many rows as it has groups below it, not as many as it has cells."""
+    partial = {f"{prefix}{a.alias}": F.min if a.fn in ("min", "min_init_cap") else F.sum for a in table.attrs() if a.fn in ("sum", "min", "min_init_cap")}
+    partial |= {f"{prefix}n": F.sum, f"{prefix}cell": F.min}
+    kinds = {f.name: f.dataType for f in around.schema}
+    keys = [c for c in around.columns if c not in partial]
+
+    def merge(nearby: DataFrame) -> DataFrame:
+        grouped = nearby.groupBy("src", *keys, C.resolution(f"{prefix}cell").alias("_level"))
+        return grouped.agg(*[f(name).cast(kinds[name]).alias(name) for name, f in partial.items()]).drop("_level")
+
+    return merge
+
+
+@dataclass
+class _Facts:
+    """Facts before they come to one level: ``rows`` with a cell ``_at`` at ``res`` or coarser (``lo`` is the coarsest), the group columns, and
+    what becomes of the other columns where rows meet."""
+
+    rows: DataFrame
+    groups: list[str]
+    final: list[Column]
+    lo: int
+    res: int
+
+    def placed(self, together: list[str] | None = None) -> DataFrame:
+        """Grouped by ``_cell`` at ``res`` and group columns; rows of one ``_zone``, the parent of a cell, and ``together`` (by default all
+        group columns) share a task.  The last level is expanded after the rows are dealt out, so a seventh of them travels."""
+        deal = self.groups if together is None else together
+        if self.lo >= self.res:
+            placed = self.rows.select(F.col("_at").alias("_zone"), F.col("_at").alias("_cell"), *[c for c in self.rows.columns if c != "_at"])
+            placed = placed if together is None else placed.repartition("_zone", *deal)
+        else:
+            above = self.res - 1
+            rows = spread(self.rows, *self.rows.columns) if self.lo < above else self.rows
+            zoned = C.normalize(rows, "_at", above, "_zone", self.lo, self.res)
+            zoned = zoned.withColumn("_at", F.when(C.resolution("_at") >= self.res, F.col("_at")).otherwise(F.col("_zone")))
+            placed = C.normalize(zoned.repartition("_zone", *deal), "_at", self.res, "_cell", above, self.res).drop("_at")
+        if not self.final:
+            return placed.select("_zone", "_cell", *self.groups).distinct()
+        return placed.groupBy("_zone", "_cell", *self.groups).agg(*self.final)
+
+    def cells(self) -> DataFrame:
+        """The distinct cells of :meth:`placed`, as ``cell``."""
+        return C.normalize(self.rows.select("_at").distinct(), "_at", self.res, "cell", self.lo, self.res).select("cell").distinct()
 
 
 def build_facts(spec: MartSpec) -> tuple[DataFrame, list[str]]:
     """The grouped fact table (cell at ``spec.res``, group columns, aggregates) and its group columns."""
+    facts = _facts(spec)
+    return facts.placed().drop("_zone"), facts.groups
+
+
+def fold_facts(spec: MartSpec) -> DataFrame:
+    """The facts with the first JSON array of the spec: ``_cell``, the group columns outside the array, and the array."""
+    return _folded(_facts(spec), spec)
+
+
+def _folded(facts: _Facts, spec: MartSpec) -> DataFrame:
+    """Facts are dealt out by the keys of the fold, so that grouping and folding share one shuffle and nothing expanded is stored."""
+    inside = set(spec.json[0].fields.values())
+    keys = [g for g in facts.groups if g not in inside]
+    folded = A.json_fold(facts.placed(keys), ["_zone", "_cell", *keys], spec.json[0].fields, spec.json[0].name)
+    return folded.drop("_zone")
+
+
+def _facts(spec: MartSpec) -> _Facts:
     indicator, contexts = spec.one("indicator"), spec.all("context")
     for table in spec.tables:
         _check(table)
@@ -157,7 +232,7 @@ def build_facts(spec: MartSpec) -> tuple[DataFrame, list[str]]:
         around = _reduced(context, spec.dates, spec.date_key, prefix)
         around_profile = cell_profile(context.df, context.cell)
         links = link_cells(profile.cells, around_profile.cells, around_profile.lo, around_profile.hi, profile.lo, profile.hi)
-        facts = context_join(facts, materialize(links, "pairs"), around, "i_cell", f"{prefix}cell", profile, around_profile)
+        facts = context_join(facts, materialize(links, "pairs"), around, "i_cell", f"{prefix}cell", profile, around_profile, _merged(context, around, prefix))
 
     # Rows behind a joined row: the product of the counts; an absent context counts once.
     counts = {"i_": F.col("i_n"), **{f"c{n}_": F.coalesce(f"c{n}_n", F.lit(1)) for n in range(len(contexts))}}
@@ -168,8 +243,10 @@ def build_facts(spec: MartSpec) -> tuple[DataFrame, list[str]]:
     def area_behind(area: Column) -> Column:
         return F.sum(area * behind())
 
-    # Everything is reduced per indicator cell first and only then moved to the wanted resolution, so that a coarse
-    # cell is expanded once per group and not once per joined row.
+    # Everything is reduced per indicator cell, or its ancestor at the wanted resolution, first and only then moved there, so that a
+    # coarse cell is expanded once per group and not once per joined row.
+    rolled = F.when(C.resolution("i_cell") > spec.res, C.parent("i_cell", spec.res)).otherwise(F.col("i_cell"))
+    facts = facts.withColumn("_at", rolled)
     keys, first, final = [], [], []
     all_cells = ["i_cell", *[f"c{n}_cell" for n in range(len(contexts))]]
     for prefix, table in [("i_", indicator), *[(f"c{n}_", t) for n, t in enumerate(contexts)]]:
@@ -193,15 +270,10 @@ def build_facts(spec: MartSpec) -> tuple[DataFrame, list[str]]:
                 area = C.cell_area(f"{prefix}cell") if a.fn == "sum_area" else A.nested_area(all_cells)
                 first.append(area_behind(area).alias(a.alias))
                 final.append(A.area_sum(F.col(a.alias)).alias(a.alias))
-    per_cell = facts.groupBy("i_cell", *keys)
-    per_cell = per_cell.agg(*first) if first else facts.select("i_cell", *keys).distinct()
-    if profile.lo < spec.res:
-        per_cell = spread(per_cell, *per_cell.columns)
-    placed = C.normalize(per_cell, "i_cell", spec.res, "_cell", profile.lo, profile.hi)
+    per_cell = facts.groupBy("_at", *keys)
+    per_cell = per_cell.agg(*first) if first else facts.select("_at", *keys).distinct()
     groups = [a.alias for t in [indicator, *contexts] for a in t.attrs() if a.group and not _is_geometry(a)]
-    if not final:
-        return placed.select("_cell", *groups).distinct(), groups
-    return placed.groupBy("_cell", *groups).agg(*final), groups
+    return _Facts(per_cell, groups, final, min(profile.lo, spec.res), spec.res)
 
 
 def build_datamart(spec: MartSpec) -> DataFrame:
@@ -209,11 +281,15 @@ def build_datamart(spec: MartSpec) -> DataFrame:
 
     With ``max_json_items`` large groups come as several rows, which ``json_part`` numbers.
     """
-    facts, groups = build_facts(spec)
+    reduced = _facts(spec)
+    groups = reduced.groups
     folds = spec.json and spec.all("context")
     if folds or spec.all("dimension"):
-        facts = materialize(facts, "mart-facts")
-    if folds:
+        reduced = replace(reduced, rows=materialize(reduced.rows, "mart-facts"))
+    if folds and len(spec.json) == 1 and spec.max_json_items is None:
+        mart = _folded(reduced, spec)
+    elif folds:
+        facts = materialize(reduced.placed().drop("_zone"), "mart-facts")
         folded = {alias for j in spec.json for alias in j.fields.values()}
         keys = ["_cell", *[g for g in groups if g not in folded]]
         marts = [A.json_fold(facts, keys, j.fields, j.name, spec.max_json_items, "json_part") for j in spec.json]
@@ -226,11 +302,11 @@ def build_datamart(spec: MartSpec) -> DataFrame:
             both = [F.coalesce(k, f"_r{i}").alias(k) for i, k in enumerate(keys)]
             mart = mart.join(right, same, "full").select(*both, *[c for c in mart.columns if c not in keys], j.name)
     else:
-        mart = facts
+        mart = reduced.placed().drop("_zone")
 
     dimension_columns = []
     dimensions = [(t, *resolution_range(t.df, t.cell)) for t in spec.all("dimension")]
-    cells = facts.select(F.col("_cell").alias("cell")).distinct()
+    cells = reduced.cells() if dimensions else None
     for n, (table, lo, hi) in enumerate(dimensions):
         side = with_dates(table.df, table.attrs(), spec.dates, spec.date_key, "inner")
         wanted = [F.col(a.column or a.alias).alias(a.alias) for a in table.attrs() if not _is_geometry(a)]

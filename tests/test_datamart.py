@@ -7,6 +7,7 @@ from hexmart.functions import cells as C
 from hexmart.operators import aggregates as A
 from hexmart.operators import skew
 from hexmart.operators.lookup import unnest_json
+from hexmart.plans import datamart
 from hexmart.plans.datamart import JsonField, MartSpec, Table, build_datamart, build_facts, write_datamart
 from hexmart.plans.select import Children, Join, build_select
 from hexmart.plans.spec import Attr
@@ -107,6 +108,25 @@ def test_facts_equal_the_row_by_row_join(tables):
     assert any(k[3] is None for k in want) and any(k[2] is None for k in want)
 
 
+def test_context_is_merged_before_the_facts_meet_it(tables, monkeypatch):
+    """A coarse cell meets one row per group and level; folding shares the shuffle that places the facts."""
+    met = []
+
+    def seen(table, around, prefix):
+        merge = real(table, around, prefix)
+        return lambda nearby: met.append((nearby.count(), merge(nearby).count())) or merge(nearby)
+
+    real = datamart._merged
+    monkeypatch.setattr(datamart, "_merged", seen)
+    folded = datamart.fold_facts(small_spec(tables))
+    assert met[0][1] < met[0][0]
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Exchange" not in plan[: plan.index("Generate")]
+    facts, _ = build_facts(small_spec(tables))
+    want = A.json_fold(facts, ["_cell", "annee"], {"id": "objectid", "cls": "cls", "surface": "surface"}, "detail")
+    assert sorted(map(tuple, folded.select(*want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
 def test_hot_cells_change_nothing(tables, monkeypatch):
     want = collected(build_facts(spec_of(tables))[0])
     monkeypatch.setattr("hexmart.plans.datamart.cell_profile", lambda df, cell="cell": skew.cell_profile(df, cell, hot_rows=2))

@@ -11,7 +11,7 @@ from hexmart.operators.hierjoin import adaptive_join, link_cells
 from hexmart.operators.lookup import standardize_field, unnest_json
 from hexmart.operators.rowid import dense_row_id
 from hexmart.operators.skew import cell_profile
-from hexmart.plans.datamart import JsonField, MartSpec, Table, build_datamart, build_facts, context_join, resolution_range, write_datamart
+from hexmart.plans.datamart import JsonField, MartSpec, Table, build_datamart, build_facts, context_join, fold_facts, resolution_range, write_datamart
 from hexmart.session import fresh_path, materialize
 from hexmart.plans.select import Children, Join, build_select
 from workload import standins as S
@@ -99,10 +99,7 @@ def agg_sum_area_adaptive(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("json_agg", f"""WITH {SQL_MART} SELECT {S.sql_hex('pos')} AS hex_id, annee, classe_n3 FROM t2""")
 def json_agg(spark: SparkSession, sf: str) -> DataFrame:
-    spec = mart_spec(spark, sf)
-    facts = materialize(build_facts(spec)[0], "facts")
-    folded = A.json_fold(facts, ["_cell", "annee"], spec.json[0].fields, "classe_n3")
-    return folded.select(C.to_hex("_cell").alias("hex_id"), "annee", "classe_n3")
+    return fold_facts(mart_spec(spark, sf)).select(C.to_hex("_cell").alias("hex_id"), "annee", "classe_n3")
 
 
 @query("unnest_json", f"""WITH {SQL_FACTS}
