@@ -20,15 +20,15 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return materialize(df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
 
 
-def heavy_keys(counts: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+def heavy_keys(counts: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, most: int = MOST_HEAVY) -> DataFrame | None:
     """(key, _ways) for the keys that one task should not carry alone, or None if there are none.
 
-    A key is heavy above ``rows_per_task`` rows or a ten-thousandth of all rows, whichever is more.  So fewer than
-    ``MOST_HEAVY`` keys can be heavy at any size, which bounds the broadcast of them, and a task gets a bounded share.
+    A key is heavy above ``rows_per_task`` rows or one ``most``-th of all rows, whichever is more.  So fewer than
+    ``most`` keys can be heavy at any size, which bounds the broadcast of them, and a task gets a bounded share.
     """
-    most, total = counts.agg(F.max("_n"), F.sum("_n")).first()
-    limit = max(rows_per_task, -(-(total or 0) // MOST_HEAVY))
-    if most is None or most <= limit:
+    largest, total = counts.agg(F.max("_n"), F.sum("_n")).first()
+    limit = max(rows_per_task, -(-(total or 0) // most))
+    if largest is None or largest <= limit:
         return None
     return counts.filter(F.col("_n") > limit).select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_ways"))
 

@@ -16,12 +16,17 @@ from hexmart.operators import aggregates as A
 from hexmart.operators.hierjoin import children_among, link_cells
 from hexmart.operators.quality import key_and_srid
 from hexmart.operators.rowid import dense_row_id
-from hexmart.operators.skew import CellProfile, cell_profile, heavy_keys_of, weighted_join
+from hexmart.operators.skew import CellProfile, cell_profile, heavy_keys, heavy_keys_of, key_counts, weighted_join
 from hexmart.plans.spec import Attr
 from hexmart.session import materialize, spread
 from hexmart.sources.sinks import SRID, cluster_by_cell
 
 
+# A cell where more facts and context rows pair up than this, or than this share of all pairs, is spread over several tasks.
+PAIRS_PER_TASK = 10_000_000
+MOST_SPLIT = 1_000
+
+
 @dataclass
 class Table:
     """One input: ``status`` is indicator, context or dimension; ``cell`` names its long cell-id column."""
@@ -138,20 +143,31 @@ def context_join(
     around_profile: CellProfile | None = None,
     merged: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """facts LEFT JOIN links LEFT JOIN around: rows without context are kept.
+    """facts LEFT JOIN links LEFT JOIN around: rows without context are kept.  ``links`` come from :func:`link_cells`.
 
-    Link and context meet first, as the links hold one row per pair of cells however hot a cell of the facts is.  A coarse
-    context cell may stand in very many links and hold very many rows; both are counted and spread by their own weight.
-    ``merged`` reduces what stands around each cell ``src`` before the facts meet it.
+    Both sides meet at one cell.  A fact goes to the one target at or above it, or else stays at its own cell; a context row stays at its
+    own cell and is copied to the sources above it that have no such target, at most one per level.  No source is a target there, so the
+    two kinds never mix.  What is shuffled follows the rows of both sides; only the last join makes their pairs, and a cell of very many
+    pairs is spread over several tasks.  ``merged`` reduces what stands around each cell ``src`` before the facts meet it.
     """
-    linked = heavy_keys_of(links, "tar")
     if around_profile is None:
         around_profile = cell_profile(around, around_cell)
+    above = C.resolution("tar") <= C.resolution("src")
+    up, down = links.filter(above), links.filter(~above)
     held = None if around_profile.heavy is None else around_profile.heavy.withColumnRenamed("cell", "tar")
-    nearby = weighted_join(links, around.withColumn("tar", F.col(around_cell)), "tar", left_heavy=linked, right_heavy=held)
+    around = around.withColumn("tar", F.col(around_cell))
+    below = weighted_join(down, around, "tar", left_heavy=heavy_keys_of(down, "tar"), right_heavy=held).drop("tar")
+    nearby = below.unionByName(around.withColumnRenamed("tar", "src"))
+    nearby = materialize(nearby if merged is None else merged(nearby), "context").withColumnRenamed("src", "_met")
+
+    met = F.coalesce("tar", cell)
     heavy = None if profile.heavy is None else profile.heavy.withColumnRenamed("cell", cell)
-    nearby = nearby.drop("tar") if merged is None else merged(nearby.drop("tar"))
-    return weighted_join(facts, nearby.withColumnRenamed("src", cell), cell, "left", heavy)
+    placed = weighted_join(facts, up.withColumnRenamed("src", cell), cell, "left", heavy).withColumn("_met", met).drop("tar")
+    rows = profile.cells.withColumnRenamed("cell", cell).join(up.withColumnRenamed("src", cell), cell, "left")
+    rows = rows.groupBy(met.alias("_met")).agg(F.sum("_n").alias("_n"))
+    pairs = rows.join(key_counts(nearby, "_met").withColumnRenamed("_n", "_around"), "_met").select("_met", (F.col("_n") * F.col("_around")).alias("_n"))
+    pairs = materialize(pairs, "pairs-met")
+    return weighted_join(placed, nearby, "_met", "left", heavy_keys(pairs, "_met", PAIRS_PER_TASK, MOST_SPLIT)).drop("_met")
 
 
 def _merged(table: Table, around: DataFrame, prefix: str) -> Callable[[DataFrame], DataFrame]:

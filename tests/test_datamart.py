@@ -127,6 +127,25 @@ def test_context_is_merged_before_the_facts_meet_it(tables, monkeypatch):
     assert sorted(map(tuple, folded.select(*want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+def test_pairs_of_facts_and_context_are_made_by_the_last_join(spark, monkeypatch):
+    """Forty-nine fine cells below a target of fifty rows, and a coarse cell above it: all that is joined before follows the rows of both sides."""
+    top = plain.make(20, [1, 2])
+    fine = [plain.make(20, [1, 2, i, j]) for i in range(7) for j in range(7)]
+    facts = spark.createDataFrame([(c, n) for n, c in enumerate([*fine, plain.make(20, [1]), plain.make(20, [1]), plain.make(20, [3]), None])], "cell bigint, n int")
+    around = spark.createDataFrame([(top, m) for m in range(50)], "c_cell bigint, m int")
+    joined = []
+
+    real = datamart.weighted_join
+    profile, held = skew.cell_profile(facts), skew.cell_profile(around, "c_cell")
+    links = datamart.link_cells(profile.cells, held.cells, held.lo, held.hi, profile.lo, profile.hi)
+    monkeypatch.setattr(datamart, "weighted_join", lambda *args, **named: joined.append((args[0].count(), args[1].count())) or real(*args, **named))
+    monkeypatch.setattr(datamart, "PAIRS_PER_TASK", 100, raising=False)
+    rows = datamart.context_join(facts, links, around, "cell", "c_cell", profile, held).select("n", "m").collect()
+    want = [(n, m) for n in range(51) for m in range(50)] + [(51, None), (52, None)]
+    assert sorted(map(tuple, rows), key=str) == sorted(want, key=str)
+    assert max(max(sizes) for sizes in joined) <= facts.count() + 2 * around.count()
+
+
 def test_hot_cells_change_nothing(tables, monkeypatch):
     want = collected(build_facts(spec_of(tables))[0])
     monkeypatch.setattr("hexmart.plans.datamart.cell_profile", lambda df, cell="cell": skew.cell_profile(df, cell, hot_rows=2))
