@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexmart.functions import cells as C
@@ -18,10 +18,9 @@ from hexmart.operators.quality import key_and_srid
 from hexmart.operators.rowid import dense_row_id
 from hexmart.operators.skew import CellProfile, cell_profile, heavy_keys, heavy_keys_of, key_counts, weighted_join
 from hexmart.plans.spec import Attr
-from hexmart.session import materialize, spread
+from hexmart.session import materialize, ways
 from hexmart.sources.sinks import SRID, cluster_by_cell
 
-
 # A cell where more facts and context rows pair up than this, or than this share of all pairs, is spread over several tasks.
 PAIRS_PER_TASK = 10_000_000
 MOST_SPLIT = 1_000
@@ -196,22 +195,51 @@ class _Facts:
     lo: int
     res: int
 
-    def placed(self, together: list[str] | None = None) -> DataFrame:
-        """Grouped by ``_cell`` at ``res`` and group columns; rows of one ``_zone``, the parent of a cell, and ``together`` (by default all
-        group columns) share a task.  The last level is expanded after the rows are dealt out, so a seventh of them travels."""
-        deal = self.groups if together is None else together
+    def _apart(self) -> tuple[DataFrame, DataFrame]:
+        """The rows grouped, in two tables: by ``_at``, where the rows of the same groups below one coarsest cell are all of one level and so share
+        no cell, and by ``_cell`` at ``res``, where they are of several and only meet there.  The first need no grouping once expanded."""
+        level, groups = C.resolution("_at"), ["_top", *self.groups]
+        dealt = self.rows.withColumn("_top", C.parent("_at", self.lo))
+        dealt = dealt.repartition(ways(self.rows.sparkSession), *groups)
+        below = Window.partitionBy(*groups)
+        dealt = dealt.select("*", F.min(level).over(below).alias("_coarsest"), F.max(level).over(below).alias("_finest"))
+        alone, several = F.col("_coarsest") == F.col("_finest"), F.col("_coarsest") < F.col("_finest")
+        placed = C.normalize(dealt.filter(several), "_at", self.res, "_cell", self.lo, self.res)
+
+        def grouped(rows: DataFrame, cell: str) -> DataFrame:
+            if not self.final:
+                return rows.select(cell, *groups).distinct().drop("_top")
+            return rows.groupBy(cell, *groups).agg(*self.final).drop("_top")
+
+        return grouped(dealt.filter(alone), "_at"), grouped(placed, "_cell")
+
+    def placed(self) -> DataFrame:
+        """Grouped by ``_cell`` at ``res`` and group columns."""
+        if self.lo >= self.res:
+            rows = self.rows.withColumnRenamed("_at", "_cell")
+            return rows.groupBy("_cell", *self.groups).agg(*self.final) if self.final else rows.select("_cell", *self.groups).distinct()
+        alone, met = self._apart()
+        return C.normalize(alone, "_at", self.res, "_cell", self.lo, self.res).select(*met.columns).unionByName(met)
+
+    def dealt(self, together: list[str], among: list[DataFrame]) -> DataFrame:
+        """:meth:`placed` with rows of one ``_zone``, the parent of a cell, and ``together`` in one task, in the order of the group columns.  The
+        last level is expanded after the rows are dealt out, so a seventh of them travels.  ``rows`` must be stored.  Cells that
+        one of the tables ``among`` (cells at ``res``, as ``cell``) lacks may be left out."""
+        spark, above = self.rows.sparkSession, self.res - 1
         if self.lo >= self.res:
-            placed = self.rows.select(F.col("_at").alias("_zone"), F.col("_at").alias("_cell"), *[c for c in self.rows.columns if c != "_at"])
-            placed = placed if together is None else placed.repartition("_zone", *deal)
+            zoned = self.placed().withColumn("_zone", F.col("_cell"))
+            expanded = self.rows.count()
         else:
-            above = self.res - 1
-            rows = spread(self.rows, *self.rows.columns) if self.lo < above else self.rows
-            zoned = C.normalize(rows, "_at", above, "_zone", self.lo, self.res)
+            alone, met = self._apart()
+            zoned = C.normalize(alone.unionByName(met.withColumnRenamed("_cell", "_at")), "_at", above, "_zone", self.lo, self.res)
             zoned = zoned.withColumn("_at", F.when(C.resolution("_at") >= self.res, F.col("_at")).otherwise(F.col("_zone")))
-            placed = C.normalize(zoned.repartition("_zone", *deal), "_at", self.res, "_cell", above, self.res).drop("_at")
-        if not self.final:
-            return placed.select("_zone", "_cell", *self.groups).distinct()
-        return placed.groupBy("_zone", "_cell", *self.groups).agg(*self.final)
+            levels = self.rows.groupBy(C.resolution("_at").alias("level")).count().collect()
+            expanded = sum(n * 7 ** (self.res - level) for level, n in levels if level is not None)
+        for cells in among:
+            zones = cells.select((F.col("cell") if self.lo >= self.res else C.parent("cell", above)).alias("_zone")).distinct()
+            zoned = zoned.join(zones, "_zone", "left_semi")
+        zoned = zoned.repartition(ways(spark, expanded), "_zone", *together).sortWithinPartitions("_zone", *together, *self.groups)
+        return zoned if self.lo >= self.res else C.normalize(zoned, "_at", self.res, "_cell", above, self.res).drop("_at")
 
     def cells(self) -> DataFrame:
         """The distinct cells of :meth:`placed`, as ``cell``."""
@@ -221,19 +249,25 @@ class _Facts:
 def build_facts(spec: MartSpec) -> tuple[DataFrame, list[str]]:
     """The grouped fact table (cell at ``spec.res``, group columns, aggregates) and its group columns."""
     facts = _facts(spec)
-    return facts.placed().drop("_zone"), facts.groups
+    return facts.placed(), facts.groups
 
 
 def fold_facts(spec: MartSpec) -> DataFrame:
     """The facts with the first JSON array of the spec: ``_cell``, the group columns outside the array, and the array."""
-    return _folded(_facts(spec), spec)
+    return _folded(_stored(_facts(spec)), spec)
+
 
+def _stored(facts: _Facts) -> _Facts:
+    return replace(facts, rows=materialize(facts.rows, "mart-facts"))
 
-def _folded(facts: _Facts, spec: MartSpec) -> DataFrame:
-    """Facts are dealt out by the keys of the fold, so that grouping and folding share one shuffle and nothing expanded is stored."""
-    inside = set(spec.json[0].fields.values())
+
+def _folded(facts: _Facts, spec: MartSpec, among: list[DataFrame] = []) -> DataFrame:
+    """Facts are dealt out by the keys of the fold, so that nothing expanded is shuffled or stored, and in the order of the array's elements,
+    so that arrays are sorted as they are made."""
+    inside = list(spec.json[0].fields.values())
     keys = [g for g in facts.groups if g not in inside]
-    folded = A.json_fold(facts.placed(keys), ["_zone", "_cell", *keys], spec.json[0].fields, spec.json[0].name)
+    ordered = replace(facts, groups=[*keys, *[g for g in inside if g in facts.groups]])
+    folded = A.json_fold(ordered.dealt(keys, among), ["_zone", "_cell", *keys], spec.json[0].fields, spec.json[0].name)
     return folded.drop("_zone")
 
 
@@ -292,6 +326,27 @@ def _facts(spec: MartSpec) -> _Facts:
     return _Facts(per_cell, groups, final, min(profile.lo, spec.res), spec.res)
 
 
+def _dimensions(spec: MartSpec, facts: _Facts) -> tuple[list[tuple[DataFrame, str]], list[str]]:
+    """Dimensions at the mart's cells, each stored, with the name of its cell column; and the names of their attributes."""
+    sides, dimension_columns = [], []
+    dimensions = [(t, *resolution_range(t.df, t.cell)) for t in spec.all("dimension")]
+    cells = facts.cells() if dimensions else None
+    for n, (table, lo, hi) in enumerate(dimensions):
+        side = with_dates(table.df, table.attrs(), spec.dates, spec.date_key, "inner")
+        wanted = [F.col(a.column or a.alias).alias(a.alias) for a in table.attrs() if not _is_geometry(a)]
+        dimension_columns += [a.alias for a in table.attrs() if not _is_geometry(a)]
+        # Cells of the mart meet the coarse cells above them; a dimension is never expanded to all it covers.
+        placed = f"_dim{n}"
+        fine = side.filter(C.resolution(table.cell) >= spec.res).withColumn(placed, C.parent(table.cell, spec.res))
+        parts = [fine.select(placed, *wanted)] if hi >= spec.res else []
+        if lo < spec.res:
+            coarse = side.filter(C.resolution(table.cell) < spec.res)
+            parts.append(children_among(coarse, cells, table.cell, spec.res, lo, min(hi, spec.res - 1), placed).select(placed, *wanted))
+        # Stored, so that Spark knows its size and spares the mart a shuffle where the dimension is small.
+        sides.append((materialize(reduce(DataFrame.unionByName, parts), "dimension"), placed))
+    return sides, dimension_columns
+
+
 def build_datamart(spec: MartSpec) -> DataFrame:
     """The mart: ``hex_id``, group columns, geometry, aggregates or JSON arrays, then dimension attributes.
 
@@ -301,11 +356,12 @@ def build_datamart(spec: MartSpec) -> DataFrame:
     groups = reduced.groups
     folds = spec.json and spec.all("context")
     if folds or spec.all("dimension"):
-        reduced = replace(reduced, rows=materialize(reduced.rows, "mart-facts"))
+        reduced = _stored(reduced)
+    sides, dimension_columns = _dimensions(spec, reduced)
     if folds and len(spec.json) == 1 and spec.max_json_items is None:
-        mart = _folded(reduced, spec)
+        mart = _folded(reduced, spec, [side.select(F.col(placed).alias("cell")) for side, placed in sides])
     elif folds:
-        facts = materialize(reduced.placed().drop("_zone"), "mart-facts")
+        facts = materialize(reduced.placed(), "mart-facts")
         folded = {alias for j in spec.json for alias in j.fields.values()}
         keys = ["_cell", *[g for g in groups if g not in folded]]
         marts = [A.json_fold(facts, keys, j.fields, j.name, spec.max_json_items, "json_part") for j in spec.json]
@@ -318,24 +374,8 @@ def build_datamart(spec: MartSpec) -> DataFrame:
             both = [F.coalesce(k, f"_r{i}").alias(k) for i, k in enumerate(keys)]
             mart = mart.join(right, same, "full").select(*both, *[c for c in mart.columns if c not in keys], j.name)
     else:
-        mart = reduced.placed().drop("_zone")
-
-    dimension_columns = []
-    dimensions = [(t, *resolution_range(t.df, t.cell)) for t in spec.all("dimension")]
-    cells = reduced.cells() if dimensions else None
-    for n, (table, lo, hi) in enumerate(dimensions):
-        side = with_dates(table.df, table.attrs(), spec.dates, spec.date_key, "inner")
-        wanted = [F.col(a.column or a.alias).alias(a.alias) for a in table.attrs() if not _is_geometry(a)]
-        dimension_columns += [a.alias for a in table.attrs() if not _is_geometry(a)]
-        # Cells of the mart meet the coarse cells above them; a dimension is never expanded to all it covers.
-        placed = f"_dim{n}"
-        fine = side.filter(C.resolution(table.cell) >= spec.res).withColumn(placed, C.parent(table.cell, spec.res))
-        parts = [fine.select(placed, *wanted)] if hi >= spec.res else []
-        if lo < spec.res:
-            coarse = side.filter(C.resolution(table.cell) < spec.res)
-            parts.append(children_among(coarse, cells, table.cell, spec.res, lo, min(hi, spec.res - 1), placed).select(placed, *wanted))
-        # Stored, so that Spark knows its size and spares the mart a shuffle where the dimension is small.
-        side = materialize(reduce(DataFrame.unionByName, parts), "dimension")
+        mart = reduced.placed()
+    for side, placed in sides:
         mart = mart.join(side, F.col("_cell") == F.col(placed)).drop(placed)
 
     # The cell decides the geometry, so it is drawn once per result row and never grouped by or shuffled.

@@ -127,6 +127,15 @@ def test_context_is_merged_before_the_facts_meet_it(tables, monkeypatch):
     assert sorted(map(tuple, folded.select(*want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+def test_expanded_facts_are_not_grouped_again(tables):
+    """Rows of one level share no cell, so nothing is grouped after they are expanded; the number of tasks does not follow the bytes before."""
+    facts, _ = build_facts(small_spec(tables))
+    for df in (facts, datamart.fold_facts(small_spec(tables))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        above = plan[: plan.index("Generate")].replace("ObjectHashAggregate", "")
+        assert "HashAggregate" not in above and "REPARTITION_BY_NUM" in plan
+
+
 def test_pairs_of_facts_and_context_are_made_by_the_last_join(spark, monkeypatch):
     """Forty-nine fine cells below a target of fifty rows, and a coarse cell above it: all that is joined before follows the rows of both sides."""
     top = plain.make(20, [1, 2])
