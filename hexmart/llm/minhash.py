@@ -21,27 +21,23 @@ from hexmart.llm.frames import settle
 
 HALVES = 20
 WIDTH = 4
-PART_NODES = 500
 _RANDOM = np.random.Generator(np.random.PCG64(31))
-SKETCH = -(-2 * HALVES * WIDTH // 32)
 FACTORS = _RANDOM.integers(0, 2**64, 2 * HALVES * WIDTH, dtype=U) | U(1)
 MASKS = _RANDOM.integers(0, 2**64, 2 * HALVES * WIDTH, dtype=U)
 
 
-def _half_keys(shingles: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One row per document with shingles, one column per half-key; and a sketch of two bits of each minhash, 32 to a column."""
+def _half_keys(shingles: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """One row per document with shingles, one column per half-key."""
     keys = np.zeros((len(begin), 2 * HALVES), U)
-    sketch = np.zeros((len(begin), SKETCH), U)
     for i, (factor, mask) in enumerate(zip(FACTORS, MASKS)):
         least = mix(np.minimum.reduceat((shingles ^ mask) * factor, begin))
         column = keys[:, i // WIDTH]
         column[:] = mix(column + least)
-        sketch[:, i // 32] |= (least & U(3)) << U(2 * (i % 32))
-    return keys, sketch
+    return keys
 
 
 def _signatures(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, node (a hash of the shingle set), left and right half-keys and sketch (empty without shingles)."""
+    """doc_id, n_shingles, node (a hash of the shingle set), left and right half-keys (empty without shingles)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -50,19 +46,19 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
                 sets = [np.unique(shingles[i:j]) for i, j in zip(begin[:-1], begin[1:])]
                 sizes = np.array([len(s) for s in sets])
                 some = np.flatnonzero(sizes)
-                keys, sketch = np.zeros((len(sets), 2 * HALVES), U), np.zeros((len(sets), SKETCH), U)
+                keys = np.zeros((len(sets), 2 * HALVES), U)
                 if len(some):
                     distinct = np.concatenate(sets)
                     starts = np.append(0, np.cumsum(sizes[some]))[:-1]
-                    keys[some], sketch[some] = _half_keys(distinct, starts)
+                    keys[some] = _half_keys(distinct, starts)
                 node = np.array([mix(np.array([mix(s + U(77)).sum(dtype=U) + U(len(s))]))[0] for s in sets], U)
                 lists = lambda a: pa.ListArray.from_arrays(
                     pa.array(np.append(0, np.cumsum(np.where(sizes > 0, a.shape[1], 0))).astype(np.int32)), pa.array(a[some].ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(row, end - row), pa.array(sizes, pa.int64()), pa.array(node.view(np.int64)), lists(keys[:, :HALVES]), lists(keys[:, HALVES:]), lists(sketch)],
-                    names=["doc_id", "n_shingles", "node", "left", "right", "sketch"])
+                    [batch.column("doc_id").slice(row, end - row), pa.array(sizes, pa.int64()), pa.array(node.view(np.int64)), lists(keys[:, :HALVES]), lists(keys[:, HALVES:])],
+                    names=["doc_id", "n_shingles", "node", "left", "right"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id bigint, n_shingles bigint, node bigint, left array<bigint>, right array<bigint>, sketch array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id bigint, n_shingles bigint, node bigint, left array<bigint>, right array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -104,19 +100,6 @@ def _possible(percent: int) -> Column:
     return _similar(shared, 2 * shared + F.col("ox") + F.col("oy"), percent)
 
 
-def _near_sketches(percent: int) -> Column:
-    """Whether two sketches agree as often as those of similar sets do, less five standard deviations."""
-    minhashes = 2 * HALVES * WIDTH
-    agree = (1 + 3 * percent / 100) / 4
-    least = minhashes * agree - 5 * (minhashes * agree * (1 - agree)) ** 0.5
-    odd = F.lit(0x5555555555555555)
-    off = F.lit(0)
-    for i in range(SKETCH):
-        bits = F.element_at("kx", i + 1).bitwiseXOR(F.element_at("ky", i + 1))
-        off = off + F.bit_count(bits.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseAND(odd))
-    return off <= minhashes - least
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx"))
     right = sets.select(F.col("node").alias("y"), F.col("shingles").alias("sy"))
@@ -128,30 +111,70 @@ def _side(known: DataFrame, side: str) -> DataFrame:
     return known.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("own").alias(f"o{side}"))
 
 
-def _with_main(main: DataFrame, apart: DataFrame, sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Links between a component and the main component of a bucket that both are in.
+def _grouped(apart: DataFrame) -> DataFrame:
+    """node, root, group, far: buckets that share nodes are one group; far are the nodes outside the group's largest component."""
+    least = apart.groupBy("key").agg(F.min("node").alias("y"))
+    met = connect(apart.join(least, "key").select(F.col("node").alias("x"), "y")).withColumnRenamed("root", "group")
+    nodes = apart.select("node", "root").distinct().join(met, "node", "left").select("node", "root", F.coalesce("group", "node").alias("group"))
+    largest = nodes.groupBy("group", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("group").agg(F.max(F.struct("k", "root")).alias("top"))
+    return nodes.join(largest, "group").select("node", "root", "group", (F.col("root") != F.col("top.root")).alias("far"))
+
 
-    The large component is cut into parts of bounded size; each node outside goes to every part and is compared there, so only links
-    leave the join. A main component of one node is the bucket's largest node, with which all members were compared before.
+def _differences(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The grouped nodes with n, delta (the shingles in which a set differs from its group's core) and excess.
+
+    The core are the shingles of more than half of the group's sets. Sets x and y are similar if they differ in at most
+    b * (nx + ny) shingles, b = (100 - percent) / (100 + percent), and they differ where just one of their deltas has a shingle. So
+    similar sets share at least half of the sum of their size(delta) - b * n. The excess is that difference, times 100 + percent.
+    """
+    held = settle(grouped.join(sets, "node").dropDuplicates(["node"]), "minhash-held")
+    members = held.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
+    counts = held.select("group", F.explode("shingles").alias("s")).groupBy("group", "s").agg(F.count(F.lit(1)).alias("k"))
+    core = counts.join(members, "group").where("2 * k > members").groupBy("group").agg(F.collect_list("s").alias("core"))
+    both = held.join(core, "group", "left").withColumn("core", F.coalesce("core", F.array().cast("array<bigint>")))
+    delta = both.withColumn("delta", F.concat(F.array_except("shingles", "core"), F.array_except("core", "shingles")))
+    excess = (100 + percent) * F.size("delta").cast("long") - (100 - percent) * F.col("n")
+    return settle(delta.select("node", "root", "group", "far", "n", "delta", excess.alias("excess")), "minhash-differences")
+
+
+def _entries(differences: DataFrame, percent: int) -> DataFrame:
+    """A row for each of the first shingles of each delta, rarest in the group first, if others of the group have it: s, rest (how many
+    shingles of the delta are left from there on) and early (whether it also is one of the first for the lesser excess of a pair).
+
+    The first shingle that two similar sets x and y share stands after at most size(delta) - (excess x + excess y) / 2 others. The lesser
+    excess gives b * n there. The other one may be more by 2 * b * n * 100 / percent at most, as deltas differ in size by no more
+    than the sets differ in shingles; this gives n * (100 - percent) / percent.
     """
-    nodes = apart.select("node", "root").distinct()
-    sizes = nodes.groupBy(F.col("root").alias("main")).agg(F.ceil(F.count(F.lit(1)) / PART_NODES).cast("int").alias("parts"))
-    meets = main.where("root != main and k > 1").select("root", "main").distinct().join(sizes, "main")
-    outer = meets.join(nodes.withColumnRenamed("node", "x"), "root").join(_side(known, "x"), "x").join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx")), "x")
-    outer = outer.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    inner = nodes.select(F.col("node").alias("y"), F.col("root").alias("main")).join(sizes, "main").join(_side(known, "y"), "y").join(
-        sets.select(F.col("node").alias("y"), F.col("shingles").alias("sy")), "y").withColumn("part", F.pmod(F.xxhash64("y"), "parts").cast("int"))
-    similar = _possible(percent) & _similar(F.size(F.array_intersect("sx", "sy")), F.col("nx") + F.col("ny"), percent)
-    return outer.drop("parts").join(inner.drop("parts"), ["main", "part"]).where(similar).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-
-
-def _outside(main: DataFrame, apart: DataFrame, sole: DataFrame, sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Links between nodes of a bucket that are in different components, neither the main one."""
-    outer = apart.join(main.where("root != main").select("key", "root"), ["key", "root"]).join(known, "node").join(sole.select("node", "sketch"), "node")
-    side = lambda s: outer.select("key", *[F.col(c).alias(a + s) for c, a in (("node", ""), ("root", "r"), ("n", "n"), ("own", "o"), ("sketch", "k"))])
-    chance = (F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & _possible(percent) & _near_sketches(percent)
-    pairs = side("x").join(side("y"), "key").where(chance).select("x", "y").distinct()
-    return _verified(settle(pairs, "minhash-outside"), sets, percent)
+    each = differences.select("node", "group", F.explode("delta").alias("s"))
+    shared = each.groupBy("group", "s").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    ranked = each.join(shared, ["group", "s"]).groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "s"))).alias("ranked"))
+    first = differences.select("node", "root", "group", "far", "n", "excess", F.size("delta").cast("long").alias("size")).join(ranked, "node").select(
+        "*", (F.col("size") - F.size("ranked")).alias("own"), F.posexplode("ranked").alias("at", "by"))
+    place = F.col("own") + F.col("at")
+    return first.where(percent * place <= (100 - percent) * F.col("n")).select(
+        "node", "root", "group", "far", "excess", F.col("by.s").alias("s"), (F.col("size") - place).alias("rest"),
+        ((100 + percent) * place <= (100 - percent) * F.col("n")).alias("early"))
+
+
+def _meeting(lesser: DataFrame, greater: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components with a shingle in both, from which on enough shingles are left in both deltas."""
+    side = lambda df, s: df.select("group", "s", *[F.col(c).alias(a + s) for c, a in (("node", ""), ("root", "r"), ("excess", "e"), ("rest", "l"))])
+    ordered = (F.col("ex") < F.col("ey")) | ((F.col("ex") == F.col("ey")) & (F.col("x") < F.col("y")))
+    enough = 2 * (100 + percent) * F.least("lx", "ly") >= F.col("ex") + F.col("ey")
+    return side(lesser, "x").join(side(greater, "y"), ["group", "s"]).where((F.col("rx") != F.col("ry")) & ordered & enough).select("x", "y")
+
+
+def _across(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes of a group that are in different components; nodes that need not share a shingle of their deltas are
+    linked by the node of least excess, as it is similar to both."""
+    differences = _differences(_grouped(apart), sets, percent)
+    least = differences.groupBy("group").agg(F.min(F.struct("excess", "node", "root")).alias("low"))
+    near = differences.join(least, "group").where("root != low.root and excess + low.excess <= 0").select(F.col("low.node").alias("x"), F.col("node").alias("y"))
+    entries = settle(_entries(differences, percent), "minhash-entries")
+    early, far = entries.where("early"), F.col("far")
+    met = _meeting(early.where(far), entries, percent).unionByName(_meeting(early.where(~far), entries.where(far), percent))
+    pairs = met.unionByName(near).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    return _verified(settle(pairs, "minhash-across"), sets, percent)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -163,14 +186,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     never linked and is kept. Rows of one id are linked as their texts are. Other columns are ignored.
 
     Buckets of table keys are not paired: their members are compared with two of them (least and largest node), which joins almost all
-    of a group of copies. Then only members of one bucket that are still in different components are compared: those outside the
-    bucket's largest component with the members of that component, and with each other if their sketches are near. So the work
-    follows the documents and those that copies left unlinked, not the square of a group, and no candidate is left out.
+    of a group of copies. Members of one bucket that are still in different components are not paired either. They meet by the rare
+    shingles in which they differ from what most of their group have, as similar ones must share such shingles, and only those that
+    can still share enough of them are compared. So the work follows the documents and the rare differences that several of a group
+    share, and no candidate is left out.
     """
     signed = settle(_signatures(docs, words), "minhash-signatures")
     usable = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     nodes = usable.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sole = usable.select("doc_id", "node", "n_shingles", "left", "right", "sketch").join(nodes, ["doc_id", "node"], "left_semi")
+    sole = usable.select("doc_id", "node", "n_shingles", "left", "right").join(nodes, ["doc_id", "node"], "left_semi")
 
     first = sole.select("node", F.posexplode("left").alias("i", "a")).select("node", "i", F.xxhash64("i", "a").alias("half"))
     met = first.groupBy("half").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("half")
@@ -188,16 +212,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = settle(_verified(hubs, sets, percent), "minhash-links")
     roots = connect(links)
 
-    weight = roots.groupBy("root").agg((F.count(F.lit(1)) + 1).alias("k"))
-    sized = roots.join(weight, "root").unionByName(weight.select(F.col("root").alias("node"), "root", "k"))
-    placed = members.select("key", "node").distinct().join(sized, "node", "left").select(
-        "key", "node", F.coalesce("root", "node").alias("root"), F.coalesce("k", F.lit(1)).alias("k"))
+    linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    placed = members.select("key", "node").distinct().join(linked, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
-    apart = settle(placed.join(mixed, "key", "left_semi"), "minhash-apart")
-    held = apart.select("key", "root", "k").distinct()
-    largest = held.groupBy("key").agg(F.max(F.struct("k", "root")).alias("top"))
-    main = settle(held.join(largest, "key").select("key", "root", F.col("top.root").alias("main"), F.col("top.k").alias("k")), "minhash-main")
-    more = settle(_with_main(main, apart, sets, known, percent).unionByName(_outside(main, apart, sole, sets, known, percent)), "minhash-more-links")
+    more = settle(_across(settle(placed.join(mixed, "key", "left_semi"), "minhash-apart"), sets, percent), "minhash-more-links")
     if more.take(1):
         roots = connect(roots.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(more))
 

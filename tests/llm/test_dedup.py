@@ -42,6 +42,56 @@ def test_group_with_copies_of_every_distance(spark):
     assert got == brute.near_components(rows, 2, 80)
 
 
+def test_group_of_copies_that_are_not_similar_is_not_paired(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base, rows = [f"b{i}" for i in range(100)], []
+    for d in range(160):
+        w = list(base)
+        for i in rng.choice(100, 4, replace=False):
+            w[i] = f"n{d}_{i}"
+        rows.append((d, " ".join(w)))
+    rows += [(1000 + d, text + " end") for d, text in rows[:20]]
+    compared, verified = [], minhash._verified
+
+    def counted(pairs, *args):
+        compared.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(minhash, "_verified", counted)
+    got = {r[0]: tuple(r[1:]) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 2).collect()}
+    assert got == brute.near_components(rows, 2, 80) and got[1000][1] == got[0][1]
+    assert compared[-1] < 0.2 * len(rows) * (len(rows) - 1) / 2
+
+
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_links_across_components(spark, percent):
+    rng = np.random.default_rng(percent)
+    sets = []
+    for size in (5, 40, 150):
+        for _ in range(60):
+            changed = rng.random(size) < rng.choice([0, 0.02, 0.1, 0.3, 0.9])
+            sets.append(sorted({int(s) for s in np.where(changed, rng.integers(1000, 1000 + 2 * size, size), np.arange(size))}))
+    sets = [list(s) for s in sorted({tuple(s) for s in sets})]
+    root = [i if i % 3 else 0 for i in range(len(sets))]
+    frame = spark.createDataFrame([(i, len(s), s) for i, s in enumerate(sets)], "node bigint, n bigint, shingles array<bigint>")
+    apart = spark.createDataFrame([(i % 2, i, r) for i, r in enumerate(root)] + [(7, i, root[i]) for i in (0, 1)], "key bigint, node bigint, root bigint")
+    links = [tuple(r) for r in minhash._across(apart, frame.unionByName(frame.limit(9)), percent).collect()]
+
+    def similar(x, y):
+        both = len(set(sets[x]) & set(sets[y]))
+        return 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both)
+
+    def parts(pairs):
+        up = list(root)
+        for x, y in pairs:
+            a, b = up[x], up[y]
+            up = [min(a, b) if r in (a, b) else r for r in up]
+        return up
+
+    assert links and all(similar(x, y) and root[x] != root[y] for x, y in links) and len(set(links)) == len(links)
+    assert parts(links) == parts((x, y) for x in range(len(sets)) for y in range(x) if similar(x, y))
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (8, 8), (7, 3), (20, 21), (21, 22), (22, 23), (23, 24), (20, 24)], "x bigint, y bigint")
     assert {tuple(r) for r in components.connect(links).collect()} == {(2, 1), (3, 1), (7, 1), (9, 8), (21, 20), (22, 20), (23, 20), (24, 20)}
