@@ -24,6 +24,8 @@ from hexmart.sources.sinks import SRID, cluster_by_cell
 # A cell where more facts and context rows pair up than this, or than this share of all pairs, is spread over several tasks.
 PAIRS_PER_TASK = 10_000_000
 MOST_SPLIT = 1_000
+# Such a cell's facts meet so many of its context rows at a time, a multiple of eight, so that packed columns of a file repeat byte by byte.
+ROWS_MET = 1_000
 
 
 @dataclass
@@ -146,8 +148,9 @@ def context_join(
 
     Both sides meet at one cell.  A fact goes to the one target at or above it, or else stays at its own cell; a context row stays at its
     own cell and is copied to the sources above it that have no such target, at most one per level.  No source is a target there, so the
-    two kinds never mix.  What is shuffled follows the rows of both sides; only the last join makes their pairs, and a cell of very many
-    pairs is spread over several tasks.  ``merged`` reduces what stands around each cell ``src`` before the facts meet it.
+    two kinds never mix.  What is shuffled follows the rows of both sides; only the last join makes their pairs.  A cell of very many
+    pairs is split on both sides: blocks of a few context rows come again for one fact after another, which task and file hold with little
+    room.  ``merged`` reduces what stands around each cell ``src`` before the facts meet it.
     """
     if around_profile is None:
         around_profile = cell_profile(around, around_cell)
@@ -164,9 +167,26 @@ def context_join(
     placed = weighted_join(facts, up.withColumnRenamed("src", cell), cell, "left", heavy).withColumn("_met", met).drop("tar")
     rows = profile.cells.withColumnRenamed("cell", cell).join(up.withColumnRenamed("src", cell), cell, "left")
     rows = rows.groupBy(met.alias("_met")).agg(F.sum("_n").alias("_n"))
-    pairs = rows.join(key_counts(nearby, "_met").withColumnRenamed("_n", "_around"), "_met").select("_met", (F.col("_n") * F.col("_around")).alias("_n"))
+    pairs = rows.join(key_counts(nearby, "_met").withColumnRenamed("_n", "_around"), "_met").select("_met", "_around", (F.col("_n") * F.col("_around")).alias("_n"))
     pairs = materialize(pairs, "pairs-met")
-    return weighted_join(placed, nearby, "_met", "left", heavy_keys(pairs, "_met", PAIRS_PER_TASK, MOST_SPLIT)).drop("_met")
+    held = heavy_keys(pairs, "_met", PAIRS_PER_TASK, MOST_SPLIT)
+    if held is None:
+        return weighted_join(placed, nearby, "_met", "left").drop("_met")
+    # All facts of a heavy cell have context, so both sides can be split there, and every block of context meets every share of the facts.
+    blocks = F.ceil(F.col("_around") / ROWS_MET)
+    held = materialize(held.join(pairs, "_met").select("_met", "_n", blocks.cast("int").alias("_blocks"), F.ceil(F.col("_ways") / blocks).cast("int").alias("_shares")), "pairs-heavy")
+    known, made = F.broadcast(held.drop("_n")), held.agg(F.sum("_n")).first()[0]  # fewer than MOST_SPLIT rows
+    tasks, keys = max(ways(held.sparkSession), -(-made // PAIRS_PER_TASK)), ["_met", "_block", "_share"]
+
+    def copied(side: DataFrame, own: Column, name: str, number: str, other: str) -> DataFrame:
+        side = side.join(known, "_met").withColumn(name, own).withColumn(number, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        return side.drop("_blocks", "_shares").repartition(tasks, *keys)
+
+    share = F.pmod(F.xxhash64(*placed.columns), F.col("_shares")).cast("int")
+    block = F.floor((F.row_number().over(Window.partitionBy("_met").orderBy(F.xxhash64(*nearby.columns))) - 1) / ROWS_MET).cast("int")
+    met = copied(placed, share, "_share", "_block", "_blocks").join(copied(nearby, block, "_block", "_share", "_shares"), keys).drop(*keys)
+    light = (side.join(known, "_met", "left_anti") for side in (placed, nearby))
+    return weighted_join(*light, "_met", "left").drop("_met").unionByName(met)
 
 
 def _merged(table: Table, around: DataFrame, prefix: str) -> Callable[[DataFrame], DataFrame]:

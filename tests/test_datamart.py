@@ -1,7 +1,9 @@
+import itertools
 import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from hexmart.functions import cells as C
 from hexmart.operators import aggregates as A
@@ -155,6 +157,24 @@ def test_pairs_of_facts_and_context_are_made_by_the_last_join(spark, monkeypatch
     assert max(max(sizes) for sizes in joined) <= facts.count() + 2 * around.count()
 
 
+def test_a_cell_of_many_pairs_meets_its_context_in_blocks(spark, monkeypatch):
+    """Fifty context rows above sixty facts come eight at a time; equal rows, facts without context and cells of few pairs stay whole."""
+    top, small = plain.make(20, [1, 2]), plain.make(20, [4])
+    below = [plain.make(20, [1, 2, n % 7]) for n in range(60)]
+    facts = spark.createDataFrame([(c, n // 2) for n, c in enumerate(below)] + [(small, 90), (plain.make(20, [3]), 91), (None, 92)], "cell bigint, n int")
+    around = spark.createDataFrame([(top, m // 2) for m in range(50)] + [(small, 70)], "c_cell bigint, m int")
+    profile, held = skew.cell_profile(facts), skew.cell_profile(around, "c_cell")
+    links = datamart.link_cells(profile.cells, held.cells, held.lo, held.hi, profile.lo, profile.hi)
+    monkeypatch.setattr(datamart, "PAIRS_PER_TASK", 100)
+    monkeypatch.setattr(datamart, "ROWS_MET", 8, raising=False)
+    joined = datamart.context_join(facts, links, around, "cell", "c_cell", profile, held)
+    rows = joined.select("n", "m", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("at")).orderBy("at").collect()
+    want = [(n // 2, m // 2) for n in range(60) for m in range(50)] + [(90, 70), (91, None), (92, None)]
+    assert sorted(((r.n, r.m) for r in rows), key=str) == sorted(want, key=str)
+    lengths = [len(list(run)) for _, run in itertools.groupby(rows, lambda r: (r.task, r.n))]
+    assert max(lengths) <= 2 * 8  # equal facts may follow each other
+
+
 def test_hot_cells_change_nothing(tables, monkeypatch):
     want = collected(build_facts(spec_of(tables))[0])
     monkeypatch.setattr("hexmart.plans.datamart.cell_profile", lambda df, cell="cell": skew.cell_profile(df, cell, hot_rows=2))
