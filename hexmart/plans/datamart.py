@@ -18,7 +18,7 @@ from hexmart.operators.quality import key_and_srid
 from hexmart.operators.rowid import dense_row_id
 from hexmart.operators.skew import CellProfile, cell_profile, heavy_keys, heavy_keys_of, key_counts, weighted_join
 from hexmart.plans.spec import Attr
-from hexmart.session import materialize, ways
+from hexmart.session import WIDE, materialize, ways
 from hexmart.sources.sinks import SRID, cluster_by_cell
 
 # A cell where more facts and context rows pair up than this, or than this share of all pairs, is spread over several tasks.
@@ -241,29 +241,29 @@ class _Facts:
         alone, met = self._apart()
         return C.normalize(alone, "_at", self.res, "_cell", self.lo, self.res).select(*met.columns).unionByName(met)
 
-    def dealt(self, together: list[str], among: list[DataFrame]) -> DataFrame:
-        """:meth:`placed` with rows of one ``_zone``, the parent of a cell, and ``together`` in one task, in the order of the group columns.  The
-        last level is expanded after the rows are dealt out, so a seventh of them travels.  ``rows`` must be stored.  Cells that
-        one of the tables ``among`` (cells at ``res``, as ``cell``) lacks may be left out."""
-        spark, above = self.rows.sparkSession, self.res - 1
+    def dealt(self, together: list[str], among: list[DataFrame]) -> tuple[DataFrame, A.Zones | None]:
+        """:meth:`placed` with rows of one ``_zone``, the parent of a cell, and ``together`` in one task.  Rows that the last level would expand
+        stay one row that stands for all cells of its zone, as the zones say; without zones the rows have a ``_cell``.  ``rows`` must be stored.
+        Cells that one of the tables ``among`` (cells at ``res``, as ``cell``) lacks may be left out."""
+        spark, above, zones = self.rows.sparkSession, self.res - 1, None
         if self.lo >= self.res:
-            zoned = self.placed().withColumn("_zone", F.col("_cell"))
+            zoned, zone = self.placed(), "_cell"
             expanded = self.rows.count()
         else:
             alone, met = self._apart()
-            zoned = C.normalize(alone.unionByName(met.withColumnRenamed("_cell", "_at")), "_at", above, "_zone", self.lo, self.res)
-            zoned = zoned.withColumn("_at", F.when(C.resolution("_at") >= self.res, F.col("_at")).otherwise(F.col("_zone")))
+            zones = A.Zones(zone := "_zone", "_at", self.res, "_cell")
+            zoned = C.normalize(alone.unionByName(met.withColumnRenamed("_cell", "_at")), "_at", above, zone, self.lo, self.res)
+            zoned = zoned.withColumn("_at", F.when(C.resolution("_at") >= self.res, F.col("_at")).otherwise(F.col(zone)))
             levels = self.rows.groupBy(C.resolution("_at").alias("level")).count().collect()
             expanded = sum(n * 7 ** (self.res - level) for level, n in levels if level is not None)
         for cells in among:
-            zones = cells.select((F.col("cell") if self.lo >= self.res else C.parent("cell", above)).alias("_zone")).distinct()
-            zoned = zoned.join(zones, "_zone", "left_semi")
-        zoned = zoned.repartition(ways(spark, expanded), "_zone", *together).sortWithinPartitions("_zone", *together, *self.groups)
-        return zoned if self.lo >= self.res else C.normalize(zoned, "_at", self.res, "_cell", above, self.res).drop("_at")
+            held = cells.select((F.col("cell") if zones is None else C.parent("cell", above)).alias(zone)).distinct()
+            zoned = zoned.join(held, zone, "left_semi")
+        return zoned.repartition(ways(spark, expanded), zone, *together), zones
 
-    def cells(self) -> DataFrame:
-        """The distinct cells of :meth:`placed`, as ``cell``."""
-        return C.normalize(self.rows.select("_at").distinct(), "_at", self.res, "cell", self.lo, self.res).select("cell").distinct()
+    def cells(self, *groups: str) -> DataFrame:
+        """The distinct cells of :meth:`placed`, as ``cell``, and ``groups`` among the group columns."""
+        return C.normalize(self.rows.select("_at", *groups).distinct(), "_at", self.res, "cell", self.lo, self.res).select("cell", *groups).distinct()
 
 
 def build_facts(spec: MartSpec) -> tuple[DataFrame, list[str]]:
@@ -282,13 +282,11 @@ def _stored(facts: _Facts) -> _Facts:
 
 
 def _folded(facts: _Facts, spec: MartSpec, among: list[DataFrame] = []) -> DataFrame:
-    """Facts are dealt out by the keys of the fold, so that nothing expanded is shuffled or stored, and in the order of the array's elements,
-    so that arrays are sorted as they are made."""
+    """Facts are dealt out by the keys of the fold, so that nothing expanded is shuffled or stored."""
     inside = list(spec.json[0].fields.values())
     keys = [g for g in facts.groups if g not in inside]
-    ordered = replace(facts, groups=[*keys, *[g for g in inside if g in facts.groups]])
-    folded = A.json_fold(ordered.dealt(keys, among), ["_zone", "_cell", *keys], spec.json[0].fields, spec.json[0].name)
-    return folded.drop("_zone")
+    dealt, zones = facts.dealt(keys, among)
+    return A.json_fold(dealt, ["_cell" if zones is None else zones.zone, *keys], spec.json[0].fields, spec.json[0].name, zones=zones)
 
 
 def _facts(spec: MartSpec) -> _Facts:
@@ -367,6 +365,18 @@ def _dimensions(spec: MartSpec, facts: _Facts) -> tuple[list[tuple[DataFrame, st
     return sides, dimension_columns
 
 
+def _numbers(facts: _Facts, keys: list[str], sides: list[tuple[DataFrame, str]], dimension_columns: list[str], order: list[str]) -> DataFrame:
+    """``id_esri`` for the rows of a folded mart, ``_cell`` and ``keys`` with the dimensions but without the array.  Cell and keys decide the array,
+    so the order is that of the whole rows, and nothing as long as an array is dealt out, sorted or stored for it."""
+    rows = facts.cells(*keys).withColumnRenamed("cell", "_cell")
+    for side, placed in sides:
+        rows = rows.join(side, F.col("_cell") == F.col(placed)).drop(placed)
+    rows = rows.select("_cell", C.to_hex("_cell").alias("hex_id"), *keys, *dimension_columns)
+    order = [c for c in order if c in rows.columns]
+    numbered = dense_row_id(rows, [*order, *[c for c in rows.columns if c not in (*order, "_cell")]], "id_esri")
+    return materialize(numbered.drop("hex_id"), "numbers")  # stored, so that Spark knows its size
+
+
 def build_datamart(spec: MartSpec) -> DataFrame:
     """The mart: ``hex_id``, group columns, geometry, aggregates or JSON arrays, then dimension attributes.
 
@@ -378,8 +388,12 @@ def build_datamart(spec: MartSpec) -> DataFrame:
     if folds or spec.all("dimension"):
         reduced = _stored(reduced)
     sides, dimension_columns = _dimensions(spec, reduced)
+    order = [a.alias for t in spec.tables for a in t.attrs() if a.order]
+    numbers = None
     if folds and len(spec.json) == 1 and spec.max_json_items is None:
         mart = _folded(reduced, spec, [side.select(F.col(placed).alias("cell")) for side, placed in sides])
+        if spec.set_esri and "geometry" not in order:
+            numbers = _numbers(reduced, [c for c in mart.columns if c not in ("_cell", spec.json[0].name)], sides, dimension_columns, order)
     elif folds:
         facts = materialize(reduced.placed(), "mart-facts")
         folded = {alias for j in spec.json for alias in j.fields.values()}
@@ -395,20 +409,25 @@ def build_datamart(spec: MartSpec) -> DataFrame:
             mart = mart.join(right, same, "full").select(*both, *[c for c in mart.columns if c not in keys], j.name)
     else:
         mart = reduced.placed()
-    for side, placed in sides:
-        mart = mart.join(side, F.col("_cell") == F.col(placed)).drop(placed)
+    if numbers is not None:
+        same = [mart[k].eqNullSafe(numbers[k]) for k in numbers.columns if k in mart.columns]
+        mart = mart.join(numbers, reduce(Column.__and__, same)).select(*[mart[c] for c in mart.columns], *dimension_columns, "id_esri")
+    else:
+        for side, placed in sides:
+            mart = mart.join(side, F.col("_cell") == F.col(placed)).drop(placed)
 
     # The cell decides the geometry, so it is drawn once per result row and never grouped by or shuffled.
     drawn = any(_is_geometry(a) for t in spec.tables for a in t.attrs())
-    body = [c for c in mart.columns if c != "_cell" and c not in dimension_columns]
+    body = [c for c in mart.columns if c not in ("_cell", "id_esri") and c not in dimension_columns]
     out = mart.select(
+        *(["id_esri"] if numbers is not None else []),
         C.to_hex("_cell").alias("hex_id"),
         *body,
         *([spec.geometry(F.col("_cell")).alias("geometry")] if drawn else []),
         *dimension_columns,
     )
-    order = [a.alias for t in spec.tables for a in t.attrs() if a.order and a.alias in out.columns]
-    if spec.set_esri:
+    order = [c for c in order if c in out.columns]
+    if spec.set_esri and numbers is None:
         plain = [c for c in out.columns if c not in (*order, "geometry")]
         out = dense_row_id(out, [*order, *plain], "id_esri")
     return out.orderBy(*[F.col(c).asc_nulls_last() for c in order]) if order else out
@@ -426,7 +445,7 @@ def write_datamart(spec: MartSpec, path: str) -> DataFrame:
         mart = mart.withColumn("srid", F.lit(SRID))
     if spec.set_index:
         mart = cluster_by_cell(mart, "hex_id")
-    mart.write.parquet(path)
+    mart.write.options(**WIDE).parquet(path)
     stored = mart.sparkSession.read.schema(mart.schema).parquet(path)
     if spec.set_esri:
         bad = key_and_srid(stored, "id_esri", "srid", SRID).first()

@@ -2,6 +2,7 @@ import itertools
 import json
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,6 +214,42 @@ def test_json_elements_are_sorted_and_keep_nulls(spark):
     assert rows == {1: [{"name": "a", "value": None}, {"name": "b", "value": 2.0}], None: [{"name": "c", "value": 1.0}]}
 
 
+def test_a_fold_holds_one_group_at_a_time(spark, monkeypatch):
+    """No aggregate gathers elements of many groups; rows that stand for a zone are one element of each of its cells, also of a pentagon's."""
+    monkeypatch.setattr(A, "FOLD_BYTES", 200, raising=False)
+    rng = random.Random(3)
+    zones = [plain.make(20, [i, j]) for i in range(3) for j in range(3)] + [plain.make(4, [0, 0]), plain.make(4, [1, 0])]
+    rows = [(z, rng.choice([z, *plain.children(z)]), rng.choice([1, 2, None]), n, rng.choice(['a"b', None, "é"])) for n, z in enumerate(zones * 12)]
+    rows += [(plain.make(20, [5, 5]), plain.make(20, [5, 5]), 1, n, "x") for n in range(400)]
+    df = spark.createDataFrame(rows, "zone bigint, at bigint, k int, n int, s string")
+    fields = {"s": "s", "n": "n"}
+    got = A.json_fold(df, ["zone", "k"], fields, "j", zones=A.Zones("zone", "at", 3, "cell"))
+    expanded = spark.createDataFrame([(c, k, n, s) for z, at, k, n, s in rows for c in (plain.children(z) if at == z else [at])], "cell bigint, k int, n int, s string")
+    items = F.sort_array(F.collect_list(F.struct("s", "n")))
+    want = expanded.groupBy("cell", "k").agg(F.to_json(items, {"ignoreNullFields": "false"}).alias("j"))
+    assert got.columns == want.columns and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    plain_fold = A.json_fold(expanded, ["cell", "k"], fields, "j")
+    assert sorted(map(tuple, plain_fold.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert "ObjectHashAggregate" not in plain_fold._jdf.queryExecution().executedPlan().toString()
+
+
+def test_wide_rows_are_stored_in_small_row_groups(tables, spark, monkeypatch):
+    """Readers hold a row group as plain values, so a few long rows make one; no array takes part in numbering the mart."""
+    monkeypatch.setattr(datamart, "WIDE", {**getattr(datamart, "WIDE", {}), "parquet.block.size": "2000"}, raising=False)
+    ordered = []
+    real = datamart.dense_row_id
+    monkeypatch.setattr(datamart, "dense_row_id", lambda df, order, out: ordered.append(df.columns) or real(df, order, out))
+    path = fresh_path(spark, "mart")
+    mart = write_datamart(small_spec(tables, set_index=True, set_esri=True), path)
+    assert ordered and all("detail" not in c for c in ordered)
+    assert mart.columns == ["id_esri", "hex_id", "annee", "detail", "geometry", "commune", "srid"]
+    rows = [tuple(r) for r in mart.select("hex_id", "annee", "commune", "id_esri").collect()]
+    by_keys = sorted(rows, key=lambda r: (r[0], r[1] is None, r[1], r[2]))
+    assert [r[3] for r in by_keys] == list(range(1, len(rows) + 1))
+    files = [pq.ParquetFile(f.removeprefix("file:")) for f in mart.inputFiles()]
+    assert sum(f.num_row_groups for f in files) > len(files)
+
+
 def test_several_json_columns(tables):
     spec = small_spec(tables)
     spec.json = [*spec.json, JsonField("classes", {"c": "cls", "id": "objectid"})]
