@@ -245,6 +245,27 @@ def test_only_one_level_stays_on_disk(spark, layer):
         assert out.count() == out.count() > 0
 
 
+def test_cells_are_settled_in_one_task(spark, layer, monkeypatch):
+    """Once there are cells enough, nothing below them is stored; a cell with too many points goes on level by level.  Either way gives the same."""
+    bare = layer.withColumn("cls", F.when(F.col("id") != 4, F.col("cls")))  # a polygon without a class
+    builds = {
+        "objects": lambda: X.index_adaptive_objects(layer, "id", [0.9] * 16, 6, 9),
+        "fast": lambda: X.index_adaptive_objects(layer, "id", [0.9] * 16, 6, 9, fast=True),
+        "partition": lambda: X.index_adaptive_partition(bare, "cls", [0.9] * 16, 6, 9),
+    }
+    want = {k: sorted(map(tuple, build().collect())) for k, build in builds.items()}
+    for points, stored in ((1 << 18, 1), (30, 3)):
+        monkeypatch.setattr(X, "GROUPS_PER_TASK", 0, raising=False)
+        monkeypatch.setattr(X, "GROUP_POINTS", points, raising=False)
+        for k, build in builds.items():
+            before = set(folders.subfolders(spark, shared_dir(spark)))
+            out = build()
+            levels = [f for f in folders.subfolders(spark, shared_dir(spark)) if f not in before and f.startswith("level-")]
+            found = {r.level for f in levels for r in spark.read.parquet(f"{shared_dir(spark)}/{f}").select("level").distinct().collect()}
+            assert 6 in found and 1 <= len(levels) <= stored and (stored > 1 or found == {6})
+            assert len(want[k]) > 0 and sorted(map(tuple, out.collect())) == want[k]
+
+
 def test_wide_area_by_sampling(spark, layer):
     """The margin is a hexagon widened by a tenth of sqrt(area)."""
     r, n = 7, 400
